@@ -2,8 +2,8 @@
 
 The match graph is reduced before it is solved: vertices of degree one are stripped, chains of vertices of degree two are
 compressed by list ranking (pointer doubling over the chain's arcs), and both are repeated while they shrink the graph.
-What is left, the core, is solved by large-star/small-star rounds. Labels are then restored to the removed vertices in
-reverse order, and every group gets its smallest member as identifier. Every step is a join or an aggregation on long
+What is left, the core, is solved by large-star/small-star rounds. Labels are then restored to the removed vertices by
+pointer doubling over the log of removals, and every group gets its smallest member as identifier. Every step is a join or an aggregation on long
 integers; each round is written to the shared folder, so lineage stays short and a lost executor costs one round.
 """
 
@@ -94,6 +94,18 @@ def _core(e: DataFrame) -> DataFrame:
         e = nxt
 
 
+def _roots(forest: DataFrame, depth: int) -> DataFrame:
+    """Restores labels: every vertex of the forest (u, parent) with its root, by pointer doubling."""
+    f = stage(forest, "forest")
+    reach = 1
+    while reach < depth:
+        up = f.select(F.col("u").alias("parent"), F.col("parent").alias("next"))
+        g = stage(f.join(up, "parent", "left").select("u", F.coalesce("next", "parent").alias("parent")), "forest")
+        discard(f)
+        f, reach = g, reach * 2
+    return f
+
+
 def group_links(pairs: DataFrame, left: str = "src", right: str = "dst", id_col: str = "id", group_col: str = "group_id", shrink: float = 0.9) -> DataFrame:
     """``id_col, group_col``: every vertex of the linked ``pairs`` (long integers) with the smallest vertex of its group.
 
@@ -119,16 +131,15 @@ def group_links(pairs: DataFrame, left: str = "src", right: str = "dst", id_col:
         done, n = left_over > shrink * n, left_over
         if done:
             break
-    labels = _core(cur) if n else None
-    for log in reversed(logs):
-        if labels is None:
-            labels = log
-        else:
-            up = log.join(labels.select(F.col("u").alias("parent"), F.col("parent").alias("root")), "parent", "left").select("u", F.coalesce("root", "parent").alias("parent"))
-            labels = labels.unionAll(up)
-    if labels is None:
+    if n:
+        logs.append(_core(cur))
+    if not logs:
         return loops.select(F.col("u").alias(id_col), F.col("u").alias(group_col))
-    labels = stage(labels, "labels")
+    # every removed vertex has one parent that went later or stayed: a forest whose depth is the number of steps
+    labels = logs[0]
+    for log in logs[1:]:
+        labels = labels.unionAll(log)
+    labels = _roots(labels, len(logs))
     low = labels.groupBy("parent").agg(F.min("u").alias("m")).select(F.col("parent"), F.least("parent", "m").alias("g"))
     members = labels.join(low, "parent").select(F.col("u").alias(id_col), F.col("g").alias(group_col))
     roots = low.select(F.col("parent").alias(id_col), F.col("g").alias(group_col))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import load
+from .boilerplate import main_content
 from .components import folded, group_by_shared_keys, says_something
 from .leakage import find_leaks, remove_leaks
 from .survivor import elect, elect_current
@@ -19,6 +20,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_by_shared_keys(d.select("id", "by_candidate", named.alias("by_name")), "id", ["by_candidate", "by_name"]).select("group_id", "id")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_content(load(spark, sf_dir, "raw_pages"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return elect(load(spark, sf_dir, "source_assertions"), load(spark, sf_dir, "source_registry"))
 
@@ -35,7 +40,7 @@ def p9_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_current": p3_current, "p9_found": p9_found, "p9_cleaned": p9_cleaned}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_current": p3_current, "p9_found": p9_found, "p9_cleaned": p9_cleaned}
 
 _SK = "regexp_replace(lower(trim({})), '[\\s_-]+', '', 'g')"
 ORACLES = {
