@@ -9,6 +9,7 @@ from ..session import load
 from .boilerplate import main_content
 from .components import folded, group_by_shared_keys, says_something
 from .leakage import find_leaks, remove_leaks
+from .pii import find_pii, mask_pii
 from .survivor import elect, elect_current
 
 
@@ -40,7 +41,15 @@ def p9_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_current": p3_current, "p9_found": p9_found, "p9_cleaned": p9_cleaned}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(load(spark, sf_dir, "documents"), load(spark, sf_dir, "papers"))
+
+
+def p10_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_pii(load(spark, sf_dir, "documents"), load(spark, sf_dir, "papers"))
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_current": p3_current, "p9_found": p9_found, "p9_cleaned": p9_cleaned, "p10_found": p10_found, "p10_masked": p10_masked}
 
 _SK = "regexp_replace(lower(trim({})), '[\\s_-]+', '', 'g')"
 ORACLES = {
