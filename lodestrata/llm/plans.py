@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import load
+from ..session import load, stage
 from .boilerplate import main_content
 from .components import folded, group_by_shared_keys, says_something
+from .history import duplicates_of_history
 from .leakage import find_leaks, remove_leaks
+from .packing import pack, token_counts
 from .pii import find_pii, mask_pii
 from .survivor import elect, elect_current
 
@@ -33,6 +35,14 @@ def p3_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return elect_current(load(spark, sf_dir, "source_assertions"), load(spark, sf_dir, "source_registry"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicates_of_history(load(spark, sf_dir, "crawl_manifests"), load(spark, sf_dir, "documents"))
+
+
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(stage(token_counts(load(spark, sf_dir, "documents")), "token-counts"), load(spark, sf_dir, "pack_targets"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items"))
 
@@ -49,7 +59,7 @@ def p10_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask_pii(load(spark, sf_dir, "documents"), load(spark, sf_dir, "papers"))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_current": p3_current, "p9_found": p9_found, "p9_cleaned": p9_cleaned, "p10_found": p10_found, "p10_masked": p10_masked}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_current": p3_current, "p4_found": p4_found, "p8_packed": p8_packed, "p9_found": p9_found, "p9_cleaned": p9_cleaned, "p10_found": p10_found, "p10_masked": p10_masked}
 
 _SK = "regexp_replace(lower(trim({})), '[\\s_-]+', '', 'g')"
 ORACLES = {
