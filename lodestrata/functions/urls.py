@@ -10,17 +10,14 @@ TRACKING_SHORT = "utm_source utm_medium utm_campaign utm_term utm_content fbclid
 TRACKING = [*TRACKING_SHORT, "mc_cid", "mc_eid", "s_cid", "trk"]
 
 _SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.-]*):"
+# scheme, host without www., path without parameters of its last segment, query
+_WHOLE = r"^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(?://(?:[wW]{3}\.)?([^/?#]*))?((?:[^?#;/]*/)*[^?#;/]*)(?:;[^?#/]*)?(?:\?([^#]*))?(?:#[\s\S]*)?$"
 
 
 def _parts(u: Column) -> dict[str, Column]:
-    """Scheme, host (with port), path and query; a parameter part of the last path segment (after ``;``) is dropped."""
-    scheme = F.lower(F.regexp_extract(u, _SCHEME, 1))
-    rest = F.regexp_replace(F.regexp_replace(u, _SCHEME, ""), r"#.*$", "")
-    host = F.lower(F.regexp_extract(rest, r"^//([^/?#]*)", 1))
-    tail = F.regexp_replace(rest, r"^//[^/?#]*", "")
-    path = F.regexp_replace(F.regexp_extract(tail, r"^([^?]*)", 1), r";[^/]*$", "")
-    query = F.regexp_extract(tail, r"^[^?]*\?(.*)$", 1)
-    return {"scheme": scheme, "host": F.regexp_replace(host, r"^www\.", ""), "path": path, "query": query}
+    """Scheme, host (with port), path and query, from one pass of one expression."""
+    cut = F.split(F.regexp_replace(u, _WHOLE, "$1\u0001$2\u0001$3\u0001$4"), "\u0001")
+    return {"scheme": F.lower(F.get(cut, F.lit(0))), "host": F.lower(F.coalesce(F.get(cut, F.lit(1)), F.lit(""))), "path": F.coalesce(F.get(cut, F.lit(2)), F.lit("")), "query": F.coalesce(F.get(cut, F.lit(3)), F.lit(""))}
 
 
 def _join(scheme: Column, p: dict[str, Column], path: Column, params: Column) -> Column:
@@ -44,10 +41,17 @@ def normalize_url(u: Column, base: Column | None = None, keep_scheme: bool = Tru
         folder = F.concat(F.regexp_replace(b["path"], r"[^/]*$", ""))
         full = F.when(u.startswith("//"), F.concat(b["scheme"], F.lit(":"), u)).when(u.startswith("/"), F.concat(origin, u)).otherwise(F.concat(origin, F.when(folder == "", F.lit("/")).otherwise(folder), u))
         u = F.when(u.rlike(r"^https?://") | u.rlike(_SCHEME) | (u == ""), u).otherwise(full)
-    p = _parts(u)
-    path = F.when(p["path"] == "/", p["path"]).otherwise(F.regexp_replace(p["path"], r"/+$", ""))
-    scheme = F.when(p["scheme"] == "", F.lit("https")).otherwise(p["scheme"]) if keep_scheme else F.lit("")
-    return F.when(u.isNull() | (u == ""), F.lit("")).otherwise(_join(scheme, p, path, F.array_sort(_kept(p["query"], TRACKING))))
+    cut = F.split(F.regexp_replace(u, _WHOLE, "$1\u0001$2\u0001$3\u0001$4"), "\u0001")
+
+    def build(c):
+        at = lambda i: F.coalesce(F.get(c, F.lit(i)), F.lit(""))
+        p = {"host": F.lower(at(1)), "path": at(2), "query": at(3)}
+        path = F.when((p["path"] == "/") | ~p["path"].endswith("/"), p["path"]).otherwise(F.rtrim(p["path"], F.lit("/")))
+        scheme = F.when(at(0) == "", F.lit("https")).otherwise(F.lower(at(0))) if keep_scheme else F.lit("")
+        return _join(scheme, p, path, F.array_sort(_kept(p["query"], TRACKING)))
+
+    # the parts are bound once and used several times
+    return F.when(u.isNull() | (u == ""), F.lit("")).otherwise(F.get(F.transform(F.array(cut), build), F.lit(0)))
 
 
 def sanitize_url(u: Column) -> Column:
