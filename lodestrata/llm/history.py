@@ -22,34 +22,47 @@ DIMS = 128
 #: Rows of a shard (its task holds them all), links to nearest rows, long links, rows of a block of queries.
 SHARD_ROWS, NEAR, LONG, BLOCK = 8192, 10, 4, 8192
 #: Least similarity of vectors that goes on to the exact rerank; recall that a beam must reach on the probe; widest beam.
-LEAST, RECALL, WIDEST = 0.6, 0.99, 128
+LEAST, RECALL, WIDEST = 0.65, 0.99, 128
 EDITS = 0.1
 #: Texts of one length band differ in length by less than this factor.
 BAND = 1.25
 
 
+#: Buckets of a text's word counts.
+BAG = 128
+
+
 def embed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, n, vec``: words and vector of each text (whole texts; words are what white space separates)."""
+    """``key, same, n, vec, bag``: identity (hash of the words), number of words, vector and hashed word counts of each text.
+
+    Whole texts in one narrow pass; words are what white space separates. Texts without words give no row.
+    """
+    import hashlib
 
     def run(batches):
         for b in batches:
             words = [t.split() for t in b["t"]]
             n = np.array([len(w) for w in words], np.int64)
             flat = np.array([x for w in words for x in w], dtype=object)
-            v = np.zeros((len(b), DIMS), np.float32)
-            if len(flat):
-                h = pd.util.hash_array(flat, categorize=True)
-                doc = np.repeat(np.arange(len(b)), n)
-                pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] + (h[1:] << np.uint64(7)))
-                same = doc[:-1] == doc[1:]
-                pair, doc = pair[same] * np.uint64(0xD6E8FEB86659FD93), doc[:-1][same]
-                at = doc * DIMS + (pair >> np.uint64(64 - DIMS.bit_length() + 1)).astype(np.int64)
-                sign = 1.0 - 2.0 * ((pair >> np.uint64(20)) & np.uint64(1)).astype(np.float64)
-                v = np.bincount(at, sign, len(b) * DIMS).reshape(len(b), DIMS).astype(np.float32)
-                v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-            yield pd.DataFrame({"key": b["key"], "n": n, "vec": [r.tobytes() for r in v]})
-
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInPandas(run, "key long, n long, vec binary")
+            if not len(flat):
+                continue
+            h = pd.util.hash_array(flat, categorize=True)
+            doc = np.repeat(np.arange(len(b)), n)
+            bag = np.bincount(doc * BAG + (h >> np.uint64(57)).astype(np.int64), minlength=len(b) * BAG).reshape(len(b), BAG)
+            pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] + (h[1:] << np.uint64(7)))
+            same = doc[:-1] == doc[1:]
+            pair, doc = pair[same] * np.uint64(0xD6E8FEB86659FD93), doc[:-1][same]
+            at = doc * DIMS + (pair >> np.uint64(64 - DIMS.bit_length() + 1)).astype(np.int64)
+            sign = 1.0 - 2.0 * ((pair >> np.uint64(20)) & np.uint64(1)).astype(np.float64)
+            v = np.bincount(at, sign, len(b) * DIMS).reshape(len(b), DIMS).astype(np.float32)
+            v = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)).astype(np.float16)
+            ident = [hashlib.blake2b(" ".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest() for w in words]
+            keep = np.flatnonzero(n)
+            yield pd.DataFrame(
+                {"key": b["key"].to_numpy()[keep], "same": [ident[i] for i in keep], "n": n[keep], "vec": [v[i].tobytes() for i in keep], "bag": [np.minimum(bag[i], 255).astype(np.uint8).tobytes() for i in keep]}
+            )
+
+    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).where("key IS NOT NULL AND t IS NOT NULL").mapInPandas(run, "key long, same binary, n long, vec binary, bag binary")
 
 
 # ---- one shard ----------------------------------------------------------------------------------------------------
@@ -137,9 +150,18 @@ def tune_beam(x: np.ndarray, links: np.ndarray, probe: int = 96, seed: int = 5)
     return 0
 
 
-def search(x: np.ndarray, links: np.ndarray, width: int, q: np.ndarray) -> list[tuple[int, int]]:
+def _few_edits(p: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether word counts allow so few edits: one edit changes two counts by one at most. No pair is lost by it."""
+    out = np.empty(len(p), bool)
+    for s in range(0, len(p), 65536):
+        d = np.abs(p[s : s + 65536].astype(np.int16) - q[s : s + 65536]).sum(1)
+        out[s : s + 65536] = d <= 2 * most[s : s + 65536]
+    return out
+
+
+def search(x: np.ndarray, links: np.ndarray, width: int, q: np.ndarray) -> np.ndarray:
     """(query, row) of all pairs with at least LEAST similarity, as the tuned beam finds them."""
-    out: list[np.ndarray] = []
+    out: list[np.ndarray] = [np.empty((0, 2), np.int64)]
     rest = np.arange(len(q))
     if width:
         ids, sims = beam_search(x, links, q, width)
@@ -151,29 +173,29 @@ def search(x: np.ndarray, links: np.ndarray, width: int, q: np.ndarray) -> list[
     for s in range(0, len(rest), 1024):
         i, j = np.nonzero(q[rest[s : s + 1024]] @ x.T >= LEAST)
         out.append(np.stack([rest[s + i], j], 1))
-    return [(int(a), int(b)) for o in out for a, b in o]
+    return np.concatenate(out)
 
 
 # ---- shards of a table --------------------------------------------------------------------------------------------
 
 
 def _vectors(col) -> np.ndarray:
-    return np.frombuffer(b"".join(col), np.float32).reshape(-1, DIMS)
+    return np.frombuffer(b"".join(col), np.float16).reshape(-1, DIMS).astype(np.float32)
 
 
-_SHARD = "band int, seg int, ids binary, vecs binary, links binary, beam int"
+_SHARD = "band int, seg int, ids binary, sizes binary, vecs binary, bags binary, links binary, beam int"
 
 
 def build_shards(rows: DataFrame) -> DataFrame:
-    """One row a shard: its keys, vectors, links and tuned beam. ``rows``: band, seg, key, vec."""
+    """One row a shard: its keys, vectors, links and tuned beam. ``rows``: band, seg, key, n, vec, bag."""
 
     def build(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("key")
         x = _vectors(g["vec"])
         links = build_graph(x)
-        return pd.DataFrame([{"band": g["band"].iloc[0], "seg": g["seg"].iloc[0], "ids": g["key"].to_numpy(np.int64).tobytes(), "vecs": x.tobytes(), "links": links.tobytes(), "beam": tune_beam(x, links)}])
+        return pd.DataFrame([{"band": g["band"].iloc[0], "seg": g["seg"].iloc[0], "ids": g["key"].to_numpy(np.int64).tobytes(), "sizes": g["n"].to_numpy(np.int64).tobytes(), "vecs": b"".join(g["vec"]), "bags": b"".join(g["bag"]), "links": links.tobytes(), "beam": tune_beam(x, links)}])
 
-    return rows.select("band", "seg", "key", "vec").groupBy("band", "seg").applyInPandas(build, _SHARD)
+    return rows.select("band", "seg", "key", "n", "vec", "bag").groupBy("band", "seg").applyInPandas(build, _SHARD)
 
 
 def search_shards(queries: DataFrame, shards: DataFrame, later: bool = False) -> DataFrame:
@@ -183,24 +205,26 @@ def search_shards(queries: DataFrame, shards: DataFrame, later: bool = False) ->
     own (all of them with ``later``). Queries go in blocks; the shard's row is copied once a block.
     """
     band = lambda n: F.floor(F.log(n) / F.log(F.lit(BAND))).cast("int")
-    q = queries.select("key", "vec", *([] if later else ["seg"]), F.explode(F.sequence(band(F.col("n") * (1 - EDITS)), band(F.col("n") / (1 - EDITS)))).alias("band"))
+    q = queries.select("key", "n", "vec", "bag", *([] if later else ["seg"]), F.explode(F.sequence(band(F.col("n") * (1 - EDITS)), band(F.col("n") / (1 - EDITS)))).alias("band"))
     where = shards.select("band", F.col("seg").alias("s"), F.lit(1).alias("one"))
     blocks = q.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     q = q.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     visits = q.join(where, "band")
-    visits = (visits if later else visits.where("s <= seg")).select("band", F.col("s").alias("seg"), "block", "key", "vec")
+    visits = (visits if later else visits.where("s <= seg")).select("band", F.col("s").alias("seg"), "block", "key", "n", "vec", "bag")
     copies = shards.join(blocks, "band").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).drop("blocks")
 
     def visit(keys, s: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if not len(s) or not len(v):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         r = s.iloc[0]
-        ids, x = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["vecs"], np.float32).reshape(-1, DIMS)
+        ids, x = np.frombuffer(r["ids"], np.int64), _vectors([r["vecs"]])
         links = np.frombuffer(r["links"], np.int32).reshape(len(ids), -1)
-        k = v["key"].to_numpy(np.int64)
-        pairs = np.array(search(x, links, int(r["beam"]), _vectors(v["vec"])), np.int64).reshape(-1, 2)
-        a, b = k[pairs[:, 0]], ids[pairs[:, 1]]
-        keep = a != b
+        i, j = search(x, links, int(r["beam"]), _vectors(v["vec"])).T
+        a, b = v["key"].to_numpy(np.int64)[i], ids[j]
+        longer = np.maximum(v["n"].to_numpy(np.int64)[i], np.frombuffer(r["sizes"], np.int64)[j])
+        bags = lambda c: np.frombuffer(b"".join(c), np.uint8).reshape(-1, BAG)
+        keep = np.flatnonzero(a != b)
+        keep = keep[_few_edits(bags(v["bag"])[i[keep]], bags([r["bags"]])[j[keep]], np.floor(longer[keep] * EDITS + 1e-9))]
         return pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
 
     by = ["band", "seg", "block"]
@@ -257,7 +281,8 @@ def edit_words(a: list, b: list, most: int) -> int:
 
 def rerank(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """``a, b, edits`` of the pairs of which at most one word in ten differs."""
-    t = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    need = pairs.select(F.col("a").alias("k")).unionAll(pairs.select(F.col("b").alias("k"))).distinct()
+    t = stage(docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).where("t IS NOT NULL").join(need, "k", "left_semi"), "texts-to-compare")
     both = pairs.join(t.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a").join(t.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
 
     def run(batches):
@@ -293,21 +318,21 @@ def _first_of(m: DataFrame, new: DataFrame) -> DataFrame:
     return one.unionAll(two)
 
 
-def similar_texts(docs: DataFrame) -> DataFrame:
-    """(id, kept) by text. ``docs``: id, batch_no, text. Equal texts are one class; classes are matched by their first members."""
-    flat = F.trim(F.regexp_replace("text", r"\s+", " "))
-    d = stage(docs.select("id", "batch_no", F.sha2(flat, 256).alias("same"), F.when(flat == "", F.lit(0)).otherwise(F.size(F.split(flat, " "))).alias("words")).where("words > 0"), "texts")
-    cls = d.groupBy("same").agg(F.min("id").alias("first"), F.max("batch_no").alias("newest"), F.max("words").alias("words"))
-    firsts = stage(cls.where("words >= 10"), "text-classes")  # of fewer words none may differ
-    rep = docs.join(firsts.select(F.col("first").alias("id"), "newest"), "id")
-    vec = embed_texts(rep, "id", "text")
-    rows = stage(segments(vec.join(rep.select(F.col("id").alias("key"), "batch_no", "newest"), "key").where("n > 0")), "vectors")
+def similar_texts(docs: DataFrame, later: DataFrame) -> DataFrame:
+    """(id, kept) by text. ``docs``: id, text; ``later``: id, batch_no of the manifests of later batches.
+
+    Equal texts are one class, matched by its first member; only classes with a member in a later batch search.
+    """
+    d = stage(embed_texts(docs, "id", "text"), "texts")
+    m = d.select(F.col("key").alias("id"), "same").join(later, "id", "left").select("id", "same", F.coalesce("batch_no", F.lit(0)).alias("batch_no"))
+    cls = m.groupBy("same").agg(F.min("id").alias("first"), F.max("batch_no").alias("newest"), F.min_by("batch_no", "id").alias("batch_no"))
+    rows = d.where("n >= 10").join(cls.select(F.col("first").alias("key"), "same", "newest", "batch_no"), ["key", "same"]).dropDuplicates(["key", "same"])  # of fewer words none may differ
+    rows = stage(segments(rows.select("key", "n", "vec", "bag", "batch_no", "newest")), "vectors")
     shards = stage(build_shards(rows), "shards")
     pairs = stage(search_shards(rows.where("newest > 0"), shards, later=True), "candidates")
-    near = rerank(pairs, docs, "id", "text").groupBy("b").agg(F.min("a").alias("near")).select(F.col("b").alias("first"), "near")
-    best = cls.join(near, "first", "left").select("same", "first", F.coalesce("near", "first").alias("kept"))
-    out = d.where("batch_no > 0").join(best.where("kept < first").unionAll(best.join(d.groupBy("same").count().where("count > 1").select("same"), "same", "left_semi").where("kept = first")), "same").where("kept < id").select("id", "kept")
-    return out
+    near = rerank(pairs, docs, "id", "text").groupBy(F.col("b").alias("first")).agg(F.min("a").alias("near"))
+    best = cls.where("newest > 0").join(near, "first", "left").select("same", F.coalesce("near", "first").alias("kept"))
+    return m.where("batch_no > 0").join(best, "same").where("kept < id").select("id", "kept")
 
 
 def duplicates_of_history(manifests: DataFrame, docs: DataFrame) -> DataFrame:
@@ -316,15 +341,15 @@ def duplicates_of_history(manifests: DataFrame, docs: DataFrame) -> DataFrame:
 
     Defined cases: a null batch is history; a null id gives no row; blank or unreadable hashes are not stated; blank
     addresses and texts repeat nothing; texts of fewer than ten words repeat equal ones only; rows repeated with one id are
-    one manifest; empty tables give an empty table; other columns are ignored.
+    one manifest, which may have several texts; empty tables give an empty table; other columns are ignored.
     """
     m = manifests.select(
         F.col("manifest_id").cast("long").alias("id"), F.coalesce("batch_no", F.lit(0)).alias("batch_no"), digest(F.col("content_hash")).alias("h"), normalize_url(F.regexp_replace("url", r"^[\s ]+|[\s ]+$", ""), keep_scheme=False).alias("u")
     ).where("id IS NOT NULL")
     m = stage(m, "manifests")
-    texts = docs.where("manifest_id IS NOT NULL AND text IS NOT NULL").groupBy(F.col("manifest_id").cast("long").alias("id")).agg(F.min("text").alias("text"))
-    texts = texts.join(m.groupBy("id").agg(F.max("batch_no").alias("batch_no")), "id")
-    found = _first_of(m, m.where("batch_no > 0")).unionAll(similar_texts(texts))
+    texts = docs.select(F.col("manifest_id").cast("long").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL").join(m.select("id"), "id", "left_semi")
+    new = m.where("batch_no > 0")
+    found = _first_of(m, new).unionAll(similar_texts(texts, new.groupBy("id").agg(F.max("batch_no").alias("batch_no"))))
     return found.groupBy(F.col("id").alias("manifest_id")).agg(F.min("kept").alias("kept_id")).select("kept_id", "manifest_id")
 
 
@@ -367,9 +392,10 @@ class HistoryIndex:
             for b in batches:
                 for r in b.itertuples():
                     ids = np.frombuffer(r.ids, np.int64)
-                    yield pd.DataFrame({"band": np.int32(r.band), "seg": np.int32(r.into), "key": ids, "vec": [v.tobytes() for v in np.frombuffer(r.vecs, np.float32).reshape(-1, DIMS)]})
+                    cut = lambda b, w: [b[i * w : i * w + w] for i in range(len(ids))]  # noqa: E731, B023
+                    yield pd.DataFrame({"band": np.int32(r.band), "seg": np.int32(r.into), "key": ids, "n": np.frombuffer(r.sizes, np.int64), "vec": cut(bytes(r.vecs), 2 * DIMS), "bag": cut(bytes(r.bags), BAG)})
 
-        rows = s.select("band", "into", "ids", "vecs").mapInPandas(unpack, "band int, seg int, key long, vec binary")
+        rows = s.select("band", "into", "ids", "sizes", "vecs", "bags").mapInPandas(unpack, "band int, seg int, key long, n long, vec binary, bag binary")
         merged = stage(build_shards(rows), "compacted")
         n = merged.count()
         merged.write.mode("overwrite").parquet(f"{self.path}/shards")
