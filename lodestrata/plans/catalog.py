@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import dealt
+from . import dealt, reference
 
-FLAGSHIP = "p6_found"
-_MODULES = (dealt,)
+FLAGSHIP = "vote_fields"
+_MODULES = (dealt, reference)
 
 
 def queries() -> dict:
