@@ -333,7 +333,7 @@ def _fields(spark, d):
 
 
 _FLAT = "trim(regexp_replace(lower({0}), '\\s+', ' ', 'g'))"
-_NUMS = "list_filter(list_transform(regexp_extract_all({0}, '" + G.NUMBER.replace("'", "''") + "', 0), lambda z: try_cast(replace(regexp_extract(z, '(\\d[\\d,]*\\.?\\d*)', 1), ',', '') AS double) * CASE lower(regexp_extract(z, '" + G.NUMBER + "', 2)) WHEN 'k' THEN 1e3 WHEN 'thousand' THEN 1e3 WHEN 'm' THEN 1e6 WHEN 'mm' THEN 1e6 WHEN 'million' THEN 1e6 WHEN 'b' THEN 1e9 WHEN 'bn' THEN 1e9 WHEN 'billion' THEN 1e9 WHEN 't' THEN 1e12 WHEN 'trillion' THEN 1e12 ELSE 1.0 END), lambda z: z IS NOT NULL)"
+_NUMS = "list_filter(list_transform(regexp_extract_all(text, '" + G.NUMBER.replace("'", "''") + "', 0), lambda z: try_cast(replace(regexp_extract(z, '(\\d[\\d,]*\\.?\\d*)', 1), ',', '') AS double) * CASE lower(regexp_extract(z, '" + G.NUMBER + "', 2)) WHEN 'k' THEN 1e3 WHEN 'thousand' THEN 1e3 WHEN 'm' THEN 1e6 WHEN 'mm' THEN 1e6 WHEN 'million' THEN 1e6 WHEN 'b' THEN 1e9 WHEN 'bn' THEN 1e9 WHEN 'billion' THEN 1e9 WHEN 't' THEN 1e12 WHEN 'trillion' THEN 1e12 ELSE 1.0 END), lambda z: z IS NOT NULL)"
 
 
 @query(f"WITH {_FIELDS_SQL} SELECT record_id, field_name, value, contains({_FLAT.format('source')}, {_FLAT.format('evidence')}) AS evidence_in_source, contains(lower(evidence), lower(value)) AS value_in_evidence FROM fl")
@@ -362,7 +362,7 @@ def missing_required(spark, d):
     return G.missing_required(_fields(spark, d), ["fundingTotal", "foundedDate", "employeeCount"])
 
 
-@query(f"SELECT doc_id, cast(len(n) AS int) AS numbers, round(coalesce(list_max(n), 0), 2) AS largest FROM (SELECT doc_id, {_NUMS.format('text')} AS n FROM documents WHERE text IS NOT NULL)")
+@query(f"SELECT doc_id, cast(len(n) AS int) AS numbers, round(coalesce(list_max(n), 0), 2) AS largest FROM (SELECT doc_id, {_NUMS} AS n FROM documents WHERE text IS NOT NULL)")
 def numeric_extract(spark, d):
     n = G.all_numbers(F.col("text"))
     return load(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.size(n).alias("numbers"), F.round(F.coalesce(F.array_max(n), F.lit(0.0)), 2).alias("largest"))
