@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..session import discard, stage
 
@@ -174,7 +175,7 @@ def group_by_shared_keys(df: DataFrame, id_col: str, keys: list[str], group_col:
     return one.join(groups, "h", "left").select(F.col("i").alias(id_col), F.coalesce("g", "h").alias(group_col))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold_unicode(s):
     import unicodedata
 

@@ -326,7 +326,7 @@ def similar_texts(docs: DataFrame, later: DataFrame) -> DataFrame:
     d = stage(embed_texts(docs, "id", "text"), "texts")
     m = d.select(F.col("key").alias("id"), "same").join(later, "id", "left").select("id", "same", F.coalesce("batch_no", F.lit(0)).alias("batch_no"))
     cls = m.groupBy("same").agg(F.min("id").alias("first"), F.max("batch_no").alias("newest"), F.min_by("batch_no", "id").alias("batch_no"))
-    rows = d.where("n >= 10").join(cls.select(F.col("first").alias("key"), "same", "newest", "batch_no"), ["key", "same"]).dropDuplicates(["key", "same"])  # of fewer words none may differ
+    rows = d.where("n >= 9").join(cls.select(F.col("first").alias("key"), "same", "newest", "batch_no"), ["key", "same"]).dropDuplicates(["key", "same"])  # nine words can differ from ten by one; of fewer none may differ
     rows = stage(segments(rows.select("key", "n", "vec", "bag", "batch_no", "newest")), "vectors")
     shards = stage(build_shards(rows), "shards")
     pairs = stage(search_shards(rows.where("newest > 0"), shards, later=True), "candidates")
@@ -340,7 +340,7 @@ def duplicates_of_history(manifests: DataFrame, docs: DataFrame) -> DataFrame:
     with the smallest id it repeats: by stated hash; by page address, where one of the two states no hash; or by text.
 
     Defined cases: a null batch is history; a null id gives no row; blank or unreadable hashes are not stated; blank
-    addresses and texts repeat nothing; texts of fewer than ten words repeat equal ones only; rows repeated with one id are
+    addresses and texts repeat nothing; texts of fewer than nine words repeat equal ones only; rows repeated with one id are
     one manifest, which may have several texts; empty tables give an empty table; other columns are ignored.
     """
     m = manifests.select(
