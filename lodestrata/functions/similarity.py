@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -49,12 +50,12 @@ def partial_ratio(a: str, b: str) -> float:
     return best
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_sort_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else token_sort_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def partial_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else partial_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 

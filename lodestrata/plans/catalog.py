@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import dealt, reference
+from . import dealt, reference, streams
 
 FLAGSHIP = "vote_fields"
-_MODULES = (dealt, reference)
+_MODULES = (dealt, reference, streams)
 
 
 def queries() -> dict:
