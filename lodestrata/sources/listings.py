@@ -23,7 +23,7 @@ def feed_links(feeds: DataFrame, key: str, xml: str, cap: int | None = 300) -> D
     urls = F.concat(
         F.xpath(safe, F.lit("//item/link/text()")), F.xpath(safe, F.lit("//item[not(link)]/guid[starts-with(text(),'http')]/text()")), F.xpath(safe, F.lit("//entry/link[@rel='alternate']/@href")), F.xpath(safe, F.lit("//entry[not(link[@rel='alternate'])]/link[1]/@href"))
     )
-    d = feeds.select(F.col(f"`{key}`").alias("k"), F.posexplode(F.array_distinct(F.filter(F.transform(urls, F.trim), lambda u: u.rlike("^https?://")))).alias("pos", "url"))
+    d = feeds.select(F.col(f"`{key}`").alias("k"), F.posexplode(F.array_distinct(F.filter(F.transform(urls, lambda u: F.trim(u)), lambda u: u.rlike("^https?://")))).alias("pos", "url"))
     if cap is not None:
         d = d.where(F.col("pos") < cap)
     return d.select(F.col("k").alias(key), "pos", "url")
