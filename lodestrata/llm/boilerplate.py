@@ -28,6 +28,7 @@ _BLOCK = re.compile(r"<(/?)(nav|aside|footer|header|form|head|script|style|noscr
 _LINK = re.compile(r"\s*(?:<li[^>]*>\s*)?<a\b[^>]*>.*</a>\s*(?:</li>)?\s*\Z", re.I | re.S)
 _ROW = re.compile(r"(?:\s[>|·•›»/]\s.*){2,}")
 _END = re.compile(r"(?<!\b[^\W\d_])(?<!\bM[rs])(?<!\bDr)(?<!\bMrs)(?<!\bProf)(?<!\bLtd)[.!?][\"'”’)]*\s+[\"'“‘(]*[^\W\da-z_]")
+_STOP = ".!?…\"”“»"
 _MARK = re.compile(r"\s*(?:[-*•·–]|\d+[.)])\s")
 
 
@@ -173,7 +174,7 @@ def _choose(p: pd.DataFrame) -> list[int]:
     last = max((i for i in range(end) if bad[i]), default=-1)
     tail = rows[last + 1 : end]
     # announcements of other articles: a furniture heading, then single sentences up to the page's foot
-    if tail and last >= 0 and all(r.sentences == 1 and not r.listed and len(r.vis) > 24 for r in tail) and (len(tail) > 1 or tail[0].vis.endswith(("…", "..."))):
+    if tail and last >= 0 and all(r.sentences == 1 and not r.listed and len(r.vis) > 24 and r.vis[-1] in _STOP for r in tail) and (len(tail) > 1 or tail[0].vis.endswith(("…", "..."))):
         end = last
     elif last >= 0 and (k := next((i for i, r in enumerate(tail) if r.vis.endswith("…")), None)) is not None and all(r.sentences == 1 for r in tail):
         end = last + 1 + k

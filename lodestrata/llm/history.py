@@ -32,6 +32,13 @@ BAND = 1.25
 BAG = 128
 
 
+def _slices(batch: pd.DataFrame, text: str, most: int = 4 << 20):
+    """The batch in parts of about so many characters, so that long texts do not add up in memory."""
+    part = np.cumsum(batch[text].str.len().to_numpy(np.int64)) // most
+    for s in np.unique(part):
+        yield batch[part == s]
+
+
 def embed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``key, same, n, vec, bag``: identity (hash of the words), number of words, vector and hashed word counts of each text.
 
@@ -40,7 +47,7 @@ def embed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     import hashlib
 
     def run(batches):
-        for b in batches:
+        for b in (x for batch in batches for x in _slices(batch, "t")):
             words = [t.split() for t in b["t"]]
             n = np.array([len(w) for w in words], np.int64)
             flat = np.array([x for w in words for x in w], dtype=object)
@@ -162,14 +169,15 @@ def _few_edits(p: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
 def search(x: np.ndarray, links: np.ndarray, width: int, q: np.ndarray) -> np.ndarray:
     """(query, row) of all pairs with at least LEAST similarity, as the tuned beam finds them."""
     out: list[np.ndarray] = [np.empty((0, 2), np.int64)]
-    rest = np.arange(len(q))
-    if width:
-        ids, sims = beam_search(x, links, q, width)
+    rest = [np.arange(len(q))] if not width else []
+    for s in range(0, len(q), 1024) if width else ():  # bounds the gathered neighbours
+        ids, sims = beam_search(x, links, q[s : s + 1024], width)
         hit = sims >= LEAST
         full = hit.all(1)  # the beam may hold too few: such queries are searched exhaustively
         a, b = np.nonzero(hit & ~full[:, None])
-        out.append(np.stack([a, ids[a, b]], 1))
-        rest = np.flatnonzero(full)
+        out.append(np.stack([s + a, ids[a, b]], 1))
+        rest.append(s + np.flatnonzero(full))
+    rest = np.concatenate(rest)
     for s in range(0, len(rest), 1024):
         i, j = np.nonzero(q[rest[s : s + 1024]] @ x.T >= LEAST)
         out.append(np.stack([rest[s + i], j], 1))
