@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import resolved_id, sanitize_entity_name
-from ..functions.similarity import cosine, token_sort_ratio_udf
+from ..functions.similarity import token_sort_ratio_udf
 
 FUZZY, ACCEPT, REVIEW = 85.0, 0.88, 0.75
 
@@ -43,10 +43,51 @@ def fuzzy_topk(queries: DataFrame, names: DataFrame, k: int = 5, threshold: floa
     return c.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "canonical_id", "name"))).where(F.col("rank") <= k).select("qid", "canonical_id", "name", F.round("score", 6).alias("score"), "rank")
 
 
+#: Seeds go to the tasks in blocks of so many vectors.
+SEED_BLOCK = 20_000
+
+
 def vector_match(probes: DataFrame, seeds: DataFrame) -> DataFrame:
-    """``pid, seed_id, score, band`` (accept, review, none): the most similar seed. The seed side is a bounded list the caller checks."""
-    pairs = probes.select("pid", F.col("vec").alias("pv")).crossJoin(F.broadcast(seeds.select("seed_id", F.col("vec").alias("sv")))).withColumn("score", F.round(cosine(F.col("pv"), F.col("sv")), 6))
-    best = pairs.groupBy("pid").agg(F.min(F.struct((-F.col("score")).alias("x"), "seed_id", "score")).alias("b")).select("pid", "b.seed_id", "b.score")
+    """``pid, seed_id, score, band`` (accept, review, none): the most similar seed, ties to the smallest id; cosine, 0 for zero vectors.
+
+    The seeds are a stated set, sent to the tasks in blocks of a bounded size; every block is one scan of the probes, a matrix
+    product an Arrow batch, and the best of the blocks wins. Vectors of different lengths are an error.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def scaled(v):
+        x = np.stack([np.asarray(r, np.float64) for r in v])
+        n = np.linalg.norm(x, axis=1, keepdims=True)
+        return np.divide(x, n, out=np.zeros_like(x), where=n > 0)
+
+    blocks: list[list] = [[]]
+    for r in seeds.where("vec IS NOT NULL").select("seed_id", "vec").orderBy("seed_id").toLocalIterator():
+        if len(blocks[-1]) == SEED_BLOCK:
+            blocks.append([])
+        blocks[-1].append((r.seed_id, list(r.vec)))
+    p = probes.where("vec IS NOT NULL").select("pid", "vec")
+    schema = f"pid {p.schema['pid'].dataType.simpleString()}, seed_id {seeds.schema['seed_id'].dataType.simpleString()}, score double"
+    best = None
+    for block in blocks:
+        if not block:
+            continue
+        shared = probes.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches, shared=shared):
+            ids = np.array([i for i, _ in shared.value])
+            m = scaled([v for _, v in shared.value]).T
+            for b in batches:
+                if len(b):
+                    s = np.round(scaled(b["vec"]) @ m, 6)
+                    k = s.argmax(1)  # the first of equals: blocks are in order of id
+                    yield pd.DataFrame({"pid": b["pid"], "seed_id": ids[k], "score": s[np.arange(len(b)), k]})
+
+        x = p.mapInPandas(run, schema)
+        best = x if best is None else best.unionAll(x)
+    if best is None:
+        best = p.select("pid", F.lit(None).cast(seeds.schema["seed_id"].dataType).alias("seed_id"), F.lit(0.0).alias("score")).limit(0)
+    best = best.groupBy("pid").agg(F.min(F.struct((-F.col("score")).alias("x"), "seed_id", "score")).alias("b")).select("pid", "b.seed_id", "b.score")
     return best.withColumn("band", F.when(F.col("score") >= ACCEPT, "accept").when(F.col("score") >= REVIEW, "review").otherwise("none"))
 
 

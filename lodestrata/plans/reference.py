@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..functions import pages as P
 from ..functions import urls as U
+from ..operators import crawling as C
 from ..operators import export as X
+from ..operators import extraction as E
 from ..operators import grounding as G
 from ..operators import resolve as R
 from ..operators import scoring as S
@@ -569,3 +571,74 @@ def json_fields(spark, d):
 def sanitize_text(spark, d):
     x = load(spark, d, "documents").where("text IS NOT NULL AND NOT contains(text, '&')").where(~F.col("text").rlike(r"[ \u0085 -​ 　\r\f\x0b]"))
     return x.select("doc_id", N.sanitize_text(F.col("text")).alias("clean"))
+
+
+# ---- extraction, crawling -----------------------------------------------------------------------------------------
+
+
+@query("""SELECT record_id, array_to_string(list_filter([CASE WHEN coalesce(trim(title), '') = '' THEN 'title:required' END, CASE WHEN coalesce(trim(citations), '') <> '' AND try_cast(citations AS double) IS NULL THEN 'citations:numeric' END,
+  CASE WHEN coalesce(trim(citations), '') <> '' AND NOT coalesce(try_cast(citations AS double) BETWEEN 0 AND 1000000, FALSE) THEN 'citations:range' END, CASE WHEN coalesce(trim(published_date), '') <> '' AND NOT regexp_matches(published_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') THEN 'published_date:pattern' END,
+  CASE WHEN coalesce(trim(verification_status), '') <> '' AND verification_status NOT IN ('grounded', 'partial', 'unverified', 'rejected') THEN 'verification_status:one_of' END], lambda x: x IS NOT NULL), ',') AS errors FROM papers""")
+def schema_validation(spark, d):
+    rules = [("title", "required", None), ("citations", "numeric", None), ("citations", "range", (0, 1_000_000)), ("published_date", "pattern", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), ("verification_status", "one_of", ["grounded", "partial", "unverified", "rejected"])]
+    return load(spark, d, "papers").select("record_id", F.array_join(E.schema_errors(rules), ",").alias("errors"))
+
+
+@query("SELECT event_id, 'k' AS field_name, CAST(NULL AS int) AS idx, json_extract_string(props, '$.k') AS value, 0.0::double AS confidence FROM events WHERE json_extract(props, '$.k') IS NOT NULL")
+def model_fields(spark, d):
+    return E.evidenced_fields(load(spark, d, "events"), "event_id", "props").select("event_id", "field_name", "idx", "value", "confidence")
+
+
+@query("""SELECT source_name, sum(length(url) // 4)::bigint AS tokens, round(sum(length(url) // 4) / 1000.0 * 0.000075 + count(*) * 100 / 1000.0 * 0.0003, 6) AS cost FROM queue_messages WHERE url IS NOT NULL GROUP BY 1""")
+def cost_by_source(spark, d):
+    x = load(spark, d, "queue_messages").where("url IS NOT NULL").groupBy("source_name").agg(F.sum(F.floor(F.length("url") / 4)).alias("tokens"), F.count(F.lit(1)).alias("n"))
+    return x.select("source_name", "tokens", F.round(E.cost(F.lit("gemini"), F.col("tokens"), F.col("n") * 100), 6).alias("cost"))
+
+
+@query("""SELECT manifest_id, least(60.0, CASE WHEN status_code = 429 THEN 5.0 ELSE pow(2.0, fetch_tier) END)::double AS wait, CASE WHEN status_code BETWEEN 200 AND 399 THEN 'ok' WHEN status_code = 429 THEN 'rate_limited' WHEN status_code BETWEEN 500 AND 599 THEN 'server_error' ELSE 'failed' END AS response,
+  NOT (contains(url, '/p/') AND regexp_matches(url, '^[a-zA-Z]+://[^/?#]*/p/')) AS allowed FROM crawl_manifests WHERE url IS NOT NULL""")
+def crawl_policy(spark, d):
+    x = load(spark, d, "crawl_manifests").where("url IS NOT NULL")
+    hosts = load(spark, d, "source_registry").select("host")
+    rules = hosts.select("host", F.lit("/p/").alias("path"), F.lit(False).alias("allow")).unionAll(hosts.select("host", F.lit("/").alias("path"), F.lit(True).alias("allow")))
+    x = C.robots_allowed(x.select("manifest_id", "url", "status_code", "fetch_tier"), rules)
+    return x.select("manifest_id", C.retry_wait(F.col("fetch_tier"), F.when(F.col("status_code") == 429, F.lit(5.0))).alias("wait"), C.response_class(F.col("status_code")).alias("response"), "allowed")
+
+
+@query("""SELECT p.page_id, trim(p.url) AS url, CASE WHEN contains(payload, trim(p.url)) THEN 1.0 WHEN contains(payload, regexp_replace(trim(p.url), '^[a-zA-Z]+://', '')) THEN 0.95 ELSE 0.0 END::double AS score FROM raw_pages p WHERE p.url IS NOT NULL AND payload IS NOT NULL""")
+def url_in_source(spark, d):
+    u = F.trim("url")
+    s = F.when(F.contains("payload", u), 1.0).when(F.contains("payload", F.regexp_replace(u, r"^[a-zA-Z]+://", "")), 0.95).otherwise(0.0)
+    return load(spark, d, "raw_pages").where("url IS NOT NULL AND payload IS NOT NULL").select("page_id", u.alias("url"), s.alias("score"))
+
+
+@query("""SELECT record_id, entity_name FROM (SELECT record_id, entity_name, row_number() OVER (ORDER BY updated_at NULLS FIRST, record_id) AS r FROM startups WHERE verification_status IN ('grounded', 'partial')) WHERE r > 50 AND r <= 150""")
+def export_page(spark, d):
+    """The export's second page: 100 rows in order of update; paging is the feature."""
+    return load(spark, d, "startups").where("verification_status IN ('grounded', 'partial')").orderBy(F.asc_nulls_first("updated_at"), "record_id").offset(50).limit(100).select("record_id", "entity_name")
+
+
+@query("""SELECT canonical_id, company, source_url FROM jobs WHERE canonical_id = (SELECT min(canonical_id) FROM jobs) OR company = (SELECT min(company) FROM jobs WHERE company <> '')""")
+def edges_of(spark, d):
+    """Edges with a given source or target."""
+    x = load(spark, d, "jobs")
+    a, b = x.agg(F.min("canonical_id"), F.min(F.when(F.col("company") != "", F.col("company")))).first()
+    return x.where((F.col("canonical_id") == a) | (F.col("company") == b)).select("canonical_id", "company", "source_url")
+
+
+@query(f"WITH {_VOTED} SELECT entity_id, array_to_string(list_sort(list(field_name || '=' || winner)), ';') AS winners, count(*) FILTER (contested) AS dissent FROM votes GROUP BY 1")
+def winners_map(spark, d):
+    v = V.vote_fields(_scored(spark, d))
+    return v.groupBy("entity_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "field_name", "winner"))), ";").alias("winners"), F.count_if("contested").alias("dissent"))
+
+
+@query()
+def page_metadata(spark, d):
+    pages = load(spark, d, "raw_pages")
+    return E.page_metadata(P.page_parts(pages, "page_id", "payload").join(pages.select("page_id", "url"), "page_id"), "page_id", "url")
+
+
+@query("SELECT doc_id AS record_id, source AS field_name, min(n_chars) AS value, 0 AS chunk_index FROM documents WHERE n_chars IS NOT NULL AND source IS NOT NULL GROUP BY 1, 2")
+def chunk_merge(spark, d):
+    x = load(spark, d, "documents").where("source IS NOT NULL").select(F.col("doc_id").alias("record_id"), F.col("source").alias("field_name"), F.lit(0).alias("chunk_index"), F.col("n_chars").alias("value"))
+    return E.merge_chunks(x)

@@ -176,3 +176,31 @@ def test_streams(spark, tmp_path):
     flows.upsert_batches(s().select("message_id", "entry_id", "url"), str(tmp_path / "table"), "message_id", ["entry_id"], str(tmp_path / "cp")).awaitTermination()
     last = spark.read.parquet(str(tmp_path / "table" / "v=2"))
     assert {r.entry_id for r in last.collect()} == set(range(53, 60))
+
+
+def test_extraction(spark):
+    from lodestrata.operators import extraction as E
+
+    ans = '{"name": {"value": "Acme", "evidence": "Acme said", "confidence": 0.9}, "tags": ["a", {"value": "b"}], "n": 3, "none": null, "relationships": [{"source": "A", "target": "B", "type": "CITES", "confidence": 7}, {"source": "A"}]}'
+    df = spark.createDataFrame([(1, ans), (2, "no json"), (3, "[1]"), (4, None)], "id long, answer string")
+    got = {(r.field_name, r.idx): (r.value, r.evidence, r.confidence) for r in E.evidenced_fields(df, "id", "answer").collect()}
+    assert got == {("name", None): ("Acme", "Acme said", 0.9), ("tags", 0): ("a", None, 0.0), ("tags", 1): ("b", None, 0.0), ("n", None): ("3", None, 0.0), ("none", None): (None, None, 0.0)}
+    assert [tuple(r) for r in E.relationships(df, "id", "answer").collect()] == [(1, "A", "B", "CITES", "", 1.0)]
+    x = spark.createDataFrame([("429 Too Many Requests",), ("maximum context length",), ("boom",)], "m string")
+    assert [r[0] for r in x.select(E.error_class(F.col("m"))).collect()] == ["rate_limit", "context_length", "generic"]
+    m = spark.createDataFrame([(1, "Page", [("og:title", " "), ("twitter:title", "T"), ("description", "D" * 600)], "https://a.test/2024/05/06/x")], "id int, title string, metas array<struct<name:string,content:string>>, url string")
+    r = E.page_metadata(m, "id", "url").first()
+    assert (r.title, len(r.description), r.author, r.date) == ("T", 500, None, "2024-05-06")
+    c = spark.createDataFrame([(1, "f", 1, "late"), (1, "f", 0, "first"), (1, "g", 0, None)], "record_id long, field_name string, chunk_index int, value string")
+    assert [tuple(r) for r in E.merge_chunks(c).collect()] == [(1, "f", "first", 0)]
+
+
+def test_crawling(spark):
+    from lodestrata.operators import crawling as C
+
+    rules = spark.createDataFrame([("a.test", "/", True), ("a.test", "/private", False), ("a.test", "/private/ok", True)], "host string, path string, allow boolean")
+    urls = spark.createDataFrame([("https://www.a.test/x",), ("https://a.test/private/1",), ("https://a.test/private/ok/2",), ("https://b.test/private",)], "url string")
+    assert {r.url: r.allowed for r in C.robots_allowed(urls, rules).collect()} == {"https://www.a.test/x": True, "https://a.test/private/1": False, "https://a.test/private/ok/2": True, "https://b.test/private": True}
+    assert C.token_bucket([0.0, 0.0, 0.0, 10.0], 1.0) == [0.0, 1.0, 1.0, 0.0]
+    p = spark.createDataFrame([("d", f"p{i}", s, f) for i, (s, f) in enumerate([(9, 1), (0, 0), (1, 9), (5, 5), (8, 2)])], "domain string, proxy string, success long, failure long")
+    assert [r.proxy for r in C.best_proxies(p).orderBy("rank").collect()] == ["p1", "p0", "p4"]
