@@ -54,8 +54,10 @@ def near_number(x: Column, numbers: Column, tolerance: float = 0.01) -> Column:
 
 def word_overlap(words: Column, source: Column) -> Column:
     """Share of the words (with repeats) that the source also has."""
-    w, s = F.split(flat(words), " "), F.split(flat(source), " ")
-    return F.size(F.filter(w, lambda x: F.array_contains(s, x))) / F.size(w)
+    both = F.struct(F.split(flat(words), " ").alias("w"), F.array_distinct(F.split(flat(source), " ")).alias("s"))
+    # both word lists are bound once, not once a word
+    share = lambda t: F.size(F.filter(t["w"], lambda x: F.array_contains(t["s"], x))) / F.size(t["w"])
+    return F.get(F.transform(F.array(both), share), F.lit(0))
 
 
 def verify_field(d: DataFrame) -> DataFrame:

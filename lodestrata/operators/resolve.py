@@ -37,10 +37,32 @@ def block_candidates(queries: DataFrame, names: DataFrame, per_query: int | None
     return c.withColumn("r", F.row_number().over(Window.partitionBy("qid").orderBy("canonical_id", "name"))).where(F.col("r") <= per_query).drop("r")
 
 
+def _sorted_tokens(c: Column) -> Column:
+    return F.array_join(F.array_sort(F.filter(F.split(F.lower(c), r"\s+"), lambda w: w != "")), " ")
+
+
+#: Each block is cut into so many parts on the query side, so that a word most names have is not one task.
+SALTS = 8
+
+
 def fuzzy_topk(queries: DataFrame, names: DataFrame, k: int = 5, threshold: float = FUZZY) -> DataFrame:
-    """``qid, canonical_id, name, score, rank``: a top-k report over blocked candidates, every one of them scored."""
-    c = block_candidates(queries, names, None).join(queries.select("qid", "qname"), "qid").withColumn("score", token_sort_ratio_udf(F.lower("qname"), F.lower("name"))).where(F.col("score") >= threshold)
-    return c.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "canonical_id", "name"))).where(F.col("rank") <= k).select("qid", "canonical_id", "name", F.round("score", 6).alias("score"), "rank")
+    """``qid, canonical_id, name, score, rank``: a top-k report over blocked candidates.
+
+    Distinct texts are compared. Before a pair is scored it must pass two bounds that lose no pair above the threshold: on
+    the lengths, and on the edit distance, which the Indel distance is never below and which the JVM stops early.
+    """
+    share = (100 - threshold) / 100
+    q = queries.select("qid", "qname", _sorted_tokens(F.col("qname")).alias("qs")).where("qs <> ''")
+    n = names.select("canonical_id", "name", _sorted_tokens(F.col("name")).alias("ns")).where("ns <> ''")
+    qt = q.groupBy("qs").agg(F.min("qname").alias("t")).select("qs", F.explode(blocking_keys(F.col("t"))).alias("bk")).withColumn("salt", F.pmod(F.xxhash64("qs"), F.lit(SALTS)))
+    nt = n.groupBy("ns").agg(F.min("name").alias("t")).select("ns", F.explode(blocking_keys(F.col("t"))).alias("bk")).withColumn("salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])))
+    total = F.length("qs") + F.length("ns")
+    close = (F.abs(F.length("qs") - F.length("ns")) <= total * share + 1e-9) & (F.expr(f"levenshtein(qs, ns, cast(floor((length(qs) + length(ns)) * {share} + 1e-9) AS int))") >= 0)
+    pairs = qt.join(nt, ["bk", "salt"]).where(close).select("qs", "ns").distinct()
+    scored = pairs.withColumn("score", F.round(token_sort_ratio_udf("qs", "ns"), 6)).where(F.col("score") >= threshold)
+    # the window's group limit keeps k rows a group before the shuffle
+    ranked = scored.join(n, "ns").withColumn("rank", F.row_number().over(Window.partitionBy("qs").orderBy(F.desc("score"), "canonical_id", "name"))).where(F.col("rank") <= k)
+    return q.join(ranked, "qs").select("qid", "canonical_id", "name", "score", "rank")
 
 
 #: Seeds go to the tasks in blocks of so many vectors.

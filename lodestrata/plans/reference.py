@@ -303,10 +303,10 @@ def fetch_stats(spark, d):
 
 #: Fields read from documents by rule: name, pattern of the evidence, pattern of the value in it.
 _RULES = (
-    ("fundingTotal", r"[^.\n]*\b(?:closed|Finanzierungsrunde|ronda)\b[^.\n]*", r"([$€£]?\d[\d,.]*\d? ?(?:million|billion|M|B|m)\b)"),
+    ("fundingTotal", r"\b(?:closed|Finanzierungsrunde|ronda)\b[^.\n]*", r"([$€£]?\d[\d,.]*\d? ?(?:million|billion|M|B|m)\b)"),
     ("foundedDate", r"The company was founded in \d{4}[^.\n]*", r"(\d{4})"),
     ("employeeCount", r"employs \d[\d,]* people[^.\n]*", r"(\d[\d,]*)"),
-    ("website", r"[^\n ]*@[\w.-]+\.(?:test|example|invalid)", r"@([\w.-]+)"),
+    ("website", r"@[\w.-]+\.(?:test|example|invalid)", r"@([\w.-]+)"),
 )
 
 
@@ -452,12 +452,12 @@ def fuzzy_topk(spark, d):
     return R.fuzzy_topk(_queries(spark, d).select("qid", "qname"), R.seed_names(_seeds(spark, d)).select("canonical_id", "name"))
 
 
-@query("""WITH p AS (SELECT p_partkey, lower(trim(p_name)) AS n FROM part), k AS (SELECT p_partkey, n, unnest(list_distinct(list_concat(['p:' || substr(n, 1, 3)], list_transform(list_filter(regexp_split_to_array(n, '\\s+'), lambda w: length(w) >= 2), lambda w: 't:' || w)))) AS bk FROM p),
-  s AS (SELECT s_suppkey, bk FROM (SELECT s_suppkey, unnest(list_distinct(list_concat(['p:' || substr(n, 1, 3)], list_transform(list_filter(regexp_split_to_array(n, '\\s+'), lambda w: length(w) >= 2), lambda w: 't:' || w)))) AS bk FROM (SELECT s_suppkey, lower(trim(s_name)) AS n FROM supplier)) WHERE length(bk) > 3)
-  SELECT s.s_suppkey AS qid, count(DISTINCT k.p_partkey) AS candidates FROM s JOIN k ON k.bk = s.bk GROUP BY 1""")
+@query("""WITH p AS (SELECT record_id, unnest(list_distinct(list_concat(['p:' || substr(n, 1, 3)], list_transform(list_filter(regexp_split_to_array(n, '\\s+'), lambda w: length(w) >= 2), lambda w: 't:' || w)))) AS bk FROM (SELECT record_id, lower(trim(entity_name)) AS n FROM papers WHERE trim(entity_name) <> '')),
+  q AS (SELECT record_id, unnest(list_distinct(list_concat(['p:' || substr(n, 1, 3)], list_transform(list_filter(regexp_split_to_array(n, '\\s+'), lambda w: length(w) >= 2), lambda w: 't:' || w)))) AS bk FROM (SELECT record_id, lower(trim(entity_name)) AS n FROM startups WHERE trim(entity_name) <> ''))
+  SELECT q.record_id AS qid, count(DISTINCT p.record_id) AS candidates FROM q JOIN p ON p.bk = q.bk WHERE length(q.bk) > 3 GROUP BY 1""")
 def block_candidates(spark, d):
-    q = load(spark, d, "supplier").select(F.col("s_suppkey").alias("qid"), F.col("s_name").alias("qname"))
-    n = load(spark, d, "part").select(F.col("p_partkey").cast("string").alias("canonical_id"), F.col("p_name").alias("name"))
+    q = load(spark, d, "startups").where("trim(entity_name) <> ''").select(F.col("record_id").alias("qid"), F.col("entity_name").alias("qname"))
+    n = load(spark, d, "papers").where("trim(entity_name) <> ''").select(F.col("record_id").cast("string").alias("canonical_id"), F.col("entity_name").alias("name"))
     return R.block_candidates(q, n, None).groupBy("qid").agg(F.count_distinct("canonical_id").alias("candidates"))
 
 
