@@ -335,7 +335,7 @@ def _fields(spark, d):
 
 
 _FLAT = "trim(regexp_replace(lower({0}), '\\s+', ' ', 'g'))"
-_NUMS = "list_filter(list_transform(regexp_extract_all(text, '" + G.NUMBER.replace("'", "''") + "', 0), lambda z: try_cast(replace(regexp_extract(z, '(\\d[\\d,]*\\.?\\d*)', 1), ',', '') AS double) * CASE lower(regexp_extract(z, '" + G.NUMBER + "', 2)) WHEN 'k' THEN 1e3 WHEN 'thousand' THEN 1e3 WHEN 'm' THEN 1e6 WHEN 'mm' THEN 1e6 WHEN 'million' THEN 1e6 WHEN 'b' THEN 1e9 WHEN 'bn' THEN 1e9 WHEN 'billion' THEN 1e9 WHEN 't' THEN 1e12 WHEN 'trillion' THEN 1e12 ELSE 1.0 END), lambda z: z IS NOT NULL)"
+_NUMS = "list_filter(list_transform(regexp_extract_all(@, '" + G.NUMBER.replace("'", "''") + "', 0), lambda z: try_cast(replace(regexp_extract(z, '(\\d[\\d,]*\\.?\\d*)', 1), ',', '') AS double) * CASE lower(regexp_extract(z, '" + G.NUMBER + "', 2)) WHEN 'k' THEN 1e3 WHEN 'thousand' THEN 1e3 WHEN 'm' THEN 1e6 WHEN 'mm' THEN 1e6 WHEN 'million' THEN 1e6 WHEN 'b' THEN 1e9 WHEN 'bn' THEN 1e9 WHEN 'billion' THEN 1e9 WHEN 't' THEN 1e12 WHEN 'trillion' THEN 1e12 ELSE 1.0 END), lambda z: z IS NOT NULL)"
 
 
 @query(f"WITH {_FIELDS_SQL} SELECT record_id, field_name, value, contains({_FLAT.format('source')}, {_FLAT.format('evidence')}) AS evidence_in_source, contains(lower(evidence), lower(value)) AS value_in_evidence FROM fl")
@@ -364,7 +364,7 @@ def missing_required(spark, d):
     return G.missing_required(_fields(spark, d), ["fundingTotal", "foundedDate", "employeeCount"])
 
 
-@query(f"SELECT doc_id, cast(len(n) AS int) AS numbers, round(coalesce(list_max(n), 0), 2) AS largest FROM (SELECT doc_id, {_NUMS} AS n FROM documents WHERE text IS NOT NULL)")
+@query(f"SELECT doc_id, cast(len(n) AS int) AS numbers, round(coalesce(list_max(n), 0), 2) AS largest FROM (SELECT doc_id, {_NUMS.replace('@', 'text')} AS n FROM documents WHERE text IS NOT NULL)")
 def numeric_extract(spark, d):
     n = G.all_numbers(F.col("text"))
     return load(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.size(n).alias("numbers"), F.round(F.coalesce(F.array_max(n), F.lit(0.0)), 2).alias("largest"))
@@ -384,27 +384,56 @@ def date_tolerance(spark, d):
     return x.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("lines"), F.count_if(near).alias("within_a_day"), F.round(F.max(F.when(near, 1 - diff / 86_400_000_000).otherwise(0.0)), 6).alias("best"))
 
 
+_MULT = "CASE lower(regexp_extract(value, '" + G.NUMBER + "', 2)) WHEN 'k' THEN 1e3 WHEN 'thousand' THEN 1e3 WHEN 'm' THEN 1e6 WHEN 'mm' THEN 1e6 WHEN 'million' THEN 1e6 WHEN 'b' THEN 1e9 WHEN 'bn' THEN 1e9 WHEN 'billion' THEN 1e9 WHEN 't' THEN 1e12 WHEN 'trillion' THEN 1e12 ELSE 1.0 END"
+_VERIFIED_SQL = _FIELDS_SQL + """,
+  f1 AS (SELECT *, regexp_replace(value, '[$€£¥,\\s]', '', 'g') AS plain, FLAT_E AS ef, FLAT_S AS sf, try_cast(replace(regexp_extract(value, 'NUMBER', 1), ',', '') AS double) * MULT AS x, NUMS AS ns FROM fl),
+  f2 AS (SELECT *, contains(sf, ef) AS inside, regexp_full_match(plain, '\\d+\\.?\\d*[BMKbmk]?') AS is_num, regexp_matches(lower(value), '^(https?://|www\\.)') AS is_url,
+    len(list_filter(ns, lambda n: n <> 0 AND abs(x - n) <= abs(n) * 0.01)) > 0 AND x <> 0 AS num_ok, regexp_replace(rtrim(lower(value), '/'), '^https?://', '') AS bare FROM f1),
+  vf AS (SELECT *, CASE WHEN trim(value) = '' THEN 'MISSING' WHEN trim(evidence) = '' THEN 'UNVERIFIED' WHEN CASE WHEN is_num THEN coalesce(num_ok, FALSE) AND inside WHEN is_url THEN contains(lower(source), bare) ELSE inside END THEN 'GROUNDED' ELSE 'UNVERIFIED' END AS status FROM f2)""".replace(
+    "FLAT_E", _FLAT.format("evidence")).replace("FLAT_S", _FLAT.format("source")).replace("NUMBER", G.NUMBER).replace("MULT", _MULT).replace("NUMS", _NUMS.replace("@", "source"))
+_OVERLAP = "len(list_filter(string_split({0}, ' '), lambda w: list_contains(string_split(sf, ' '), w))) / len(string_split({0}, ' '))"
+_FLAGS_SQL = _VERIFIED_SQL + f""",
+  fg0 AS (SELECT *, CASE WHEN status = 'GROUNDED' THEN 1.0 ELSE 0.0 END AS g, regexp_matches(evidence, '{G.GENERIC}') AS generic, value IN ({", ".join(f"'{v}'" for v in G.ASSUMED)}) AND confidence > 0.9 AS assumed, {_FLAT.format("value")} AS fv,
+    CASE lower(right(plain, 1)) WHEN 't' THEN try_cast(left(plain, -1) AS double) * 1e12 WHEN 'b' THEN try_cast(left(plain, -1) AS double) * 1e9 WHEN 'm' THEN try_cast(left(plain, -1) AS double) * 1e6 WHEN 'k' THEN try_cast(left(plain, -1) AS double) * 1e3 ELSE try_cast(plain AS double) END AS amount FROM vf WHERE trim(value) <> ''),
+  fg1 AS (SELECT *, length(value) < 3 OR contains(lower(source), lower(trim(value))) OR (regexp_full_match(plain, '\\d+(\\.\\d+)?') AND contains(source, regexp_replace(plain, '\\..*$', ''))) OR (len(string_split(fv, ' ')) >= 2 AND {_OVERLAP.format("fv")} >= 0.6) AS attributed FROM fg0),
+  fg AS (SELECT record_id, field_name, unnest(list_filter([
+    CASE WHEN length(evidence) < 10 THEN {{'c': 'fabrication', 's': 'warning'}} END,
+    CASE WHEN length(evidence) >= 10 AND NOT inside AND len(string_split(ef, ' ')) >= 3 AND {_OVERLAP.format("ef")} < 0.7 THEN {{'c': 'fabrication', 's': 'critical'}} END,
+    CASE WHEN g > 0 AND confidence - g > 0.35 THEN {{'c': 'inflation', 's': 'warning'}} END,
+    CASE WHEN generic THEN {{'c': 'suspicious', 's': 'warning'}} END,
+    CASE WHEN NOT generic AND assumed THEN {{'c': 'suspicious', 's': 'info'}} END,
+    CASE WHEN NOT generic AND NOT assumed AND field_name = 'foundedDate' AND try_cast(regexp_extract(value, '(\\d{{4}})', 1) AS int) > 2025 THEN {{'c': 'suspicious', 's': 'critical'}} END,
+    CASE WHEN NOT attributed THEN {{'c': 'attribution', 's': 'warning'}} END,
+    CASE WHEN field_name = 'website' AND NOT regexp_matches(value, '{G.URL_SHAPE}') THEN {{'c': 'url_format', 's': 'warning'}} END,
+    CASE WHEN field_name = 'fundingTotal' AND (amount < 1e3 OR amount > 5e11) OR field_name = 'employeeCount' AND (amount < 1 OR amount > 5e6) THEN {{'c': 'outlier', 's': 'critical'}} END], lambda x: x IS NOT NULL)) AS f FROM fg1)"""
+_TRUST_SQL = _FLAGS_SQL + """,
+  ck AS (SELECT record_id, count(*) AS fields_checked FROM fl WHERE trim(value) <> '' GROUP BY 1),
+  ag AS (SELECT record_id, count(*) FILTER (f.s = 'critical') AS critical, count(*) FILTER (f.s = 'warning') AS warnings, count(*) FILTER (f.s = 'info') AS infos FROM fg GROUP BY 1),
+  ts AS (SELECT record_id, fields_checked, coalesce(critical, 0) AS critical, coalesce(warnings, 0) AS warnings, coalesce(infos, 0) AS infos, round(greatest(0.0, 1 - 0.25 * coalesce(critical, 0) - 0.10 * coalesce(warnings, 0) - 0.03 * coalesce(infos, 0)), 4) AS trust_score FROM ck LEFT JOIN ag USING (record_id))"""
+
+
 def _flags(spark, d):
     v = G.verify_field(_fields(spark, d))
     return v, G.field_flags(v, 2024)
 
 
-@query()
+@query(f"WITH {_VERIFIED_SQL} SELECT record_id, field_name, CASE field_name WHEN 'foundedDate' THEN 'date' WHEN 'website' THEN 'url' ELSE 'numeric' END AS field_class, status, CASE WHEN status = 'GROUNDED' THEN 100.0 ELSE 0.0 END::double AS grounding FROM vf")
 def field_status(spark, d):
     return G.verify_field(_fields(spark, d)).select("record_id", "field_name", G.classify_field(F.col("field_name")).alias("field_class"), "status", "grounding")
 
 
-@query()
+@query(f"WITH {_FLAGS_SQL} SELECT record_id, field_name, f.c AS check_type, f.s AS severity FROM fg")
 def field_flags(spark, d):
     return _flags(spark, d)[1]
 
 
-@query()
+@query(f"""WITH {_TRUST_SQL} SELECT *, CASE WHEN critical > 0 OR trust_score < 0.4 THEN 'reject' WHEN warnings > 0 OR trust_score < 0.7 THEN 'review' ELSE 'accept' END AS recommendation, critical = 0 AND trust_score >= 0.6 AS trustworthy FROM ts""")
 def trust_score(spark, d):
     return G.trust(*_flags(spark, d))
 
 
-@query()
+@query(f"""WITH {_FLAGS_SQL}, bad AS (SELECT DISTINCT record_id, TRUE AS bad FROM fg WHERE f.s = 'critical'), rs AS (SELECT record_id, count(*) AS total, count(*) FILTER (status = 'GROUNDED') AS grounded, round(count(*) FILTER (status = 'GROUNDED') / count(*), 6) AS ratio FROM vf GROUP BY 1)
+  SELECT record_id, total, grounded, ratio, CASE WHEN bad THEN 'unverified' WHEN grounded = total THEN 'grounded' WHEN ratio >= 0.5 THEN 'partial' ELSE 'unverified' END AS record_status FROM rs LEFT JOIN bad USING (record_id)""")
 def record_status(spark, d):
     return G.record_status(*_flags(spark, d))
 
