@@ -73,4 +73,11 @@ ORACLES = {
         SELECT entity_id, field_name, assertion_id FROM (
           SELECT *, row_number() OVER (PARTITION BY entity_id, field_name ORDER BY g DESC, cred DESC NULLS LAST, fetched_at DESC NULLS LAST, assertion_id) AS r
           FROM d WHERE said AND n > 1) WHERE r = 1""",
+    "p9_found": """
+        WITH p AS (SELECT item_id, regexp_extract_all(lower(passage), '[\\p{L}\\p{N}]+') AS w FROM eval_items),
+        pg AS (SELECT item_id, len(w) AS n, unnest(list_transform(range(1, len(w) - 6), lambda i: {'i': i, 'g': array_to_string(w[i:i + 7], ' ')})) AS x FROM p WHERE len(w) >= 8),
+        d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+        dg AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM d WHERE len(w) >= 8),
+        c AS (SELECT DISTINCT doc_id, item_id, n, unnest(range(x.i, x.i + 8)) AS q FROM pg JOIN dg ON dg.g = pg.x.g)
+        SELECT doc_id, item_id FROM c GROUP BY doc_id, item_id, n HAVING 2 * count(*) >= n""",
 }
