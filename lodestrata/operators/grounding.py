@@ -151,6 +151,12 @@ def record_status(verified: DataFrame, flags: DataFrame | None = None) -> DataFr
     return r.join(bad, "record_id", "left").withColumn("record_status", F.when(F.col("bad"), "unverified").otherwise(s)).drop("bad")
 
 
+def list_grounding(verified: DataFrame) -> DataFrame:
+    """``record_id, field_name, items, score, grounded``: mean grounding of a list field's items; grounded if at least half are."""
+    x = verified.groupBy("record_id", "field_name").agg(F.count(F.lit(1)).alias("items"), F.round(F.avg("grounding") + TIES, 4).alias("score"), F.avg((F.col("status") == "GROUNDED").cast("double")).alias("part"))
+    return x.withColumn("grounded", F.col("part") >= 0.5).drop("part")
+
+
 def lineage(votes: DataFrame, scored: DataFrame) -> DataFrame:
     """``entity_id, sources, fields, contested_fields, mean_confidence``: distinct sources, contested fields and mean confidence of an entity."""
     src = scored.groupBy("entity_id").agg(F.count_distinct("source_url").alias("sources"))

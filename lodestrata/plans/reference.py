@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dates as DT
 from ..functions import names as N
 from ..functions import pages as P
 from ..functions import urls as U
@@ -671,3 +672,23 @@ def page_metadata(spark, d):
 def chunk_merge(spark, d):
     x = load(spark, d, "documents").where("source IS NOT NULL").select(F.col("doc_id").alias("record_id"), F.col("source").alias("field_name"), F.lit(0).alias("chunk_index"), F.col("n_chars").alias("value"))
     return E.merge_chunks(x)
+
+
+@query("""SELECT parsed_id, cast(min(d) AS varchar) AS first_day, count(d) AS dates FROM (SELECT parsed_id, unnest(list_filter(list_concat(
+  list_transform(regexp_extract_all(raw, '\\d{4}-\\d{2}-\\d{2}'), lambda x: try_strptime(x, '%Y-%m-%d')), list_transform(regexp_extract_all(raw, '(?:January|February|March|April|May|June|July|August|September|October|November|December) \\d{1,2}, \\d{4}'), lambda x: try_strptime(x, '%B %-d, %Y')),
+  list_transform(regexp_extract_all(raw, '\\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \\d{4}'), lambda x: try_strptime(x, '%-d %B %Y'))), lambda x: x IS NOT NULL AND year(x) > 0))::date AS d FROM parsed_dates WHERE raw IS NOT NULL AND NOT contains(raw, '0000')) GROUP BY 1""")
+def dates_in_text(spark, d):
+    x = load(spark, d, "parsed_dates").where("raw IS NOT NULL AND NOT contains(raw, '0000')").withColumn("ds", DT.dates_in(F.col("raw"))).where(F.size("ds") > 0)
+    return x.select("parsed_id", F.array_min("ds").cast("string").alias("first_day"), F.size("ds").cast("long").alias("dates"))
+
+
+@query(f"SELECT doc_id FROM documents WHERE epoch_us(TIMESTAMPTZ '{NOW}+00') - epoch_us(fetched_at) <= 720 * 3600e6")
+def fresh_documents(spark, d):
+    return load(spark, d, "documents").where(DT.within_hours(F.col("fetched_at"), NOW, 720)).select("doc_id")
+
+
+@query("SELECT entity_id AS record_id, field_name, count(*) AS items, round(avg(CASE WHEN ok THEN 100.0 ELSE 0.0 END) + 1e-9, 4) AS score, avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) >= 0.5 AS grounded FROM (SELECT entity_id, field_name, contains(lower(evidence_text), lower(value)) AS ok FROM source_assertions WHERE value IS NOT NULL AND evidence_text IS NOT NULL) GROUP BY 1, 2")
+def list_grounding(spark, d):
+    ok = F.contains(F.lower("evidence_text"), F.lower("value"))
+    x = load(spark, d, "source_assertions").where("value IS NOT NULL AND evidence_text IS NOT NULL").select(F.col("entity_id").alias("record_id"), "field_name", F.when(ok, 100.0).otherwise(0.0).alias("grounding"), F.when(ok, "GROUNDED").otherwise("UNVERIFIED").alias("status"))
+    return G.list_grounding(x)

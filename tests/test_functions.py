@@ -120,3 +120,30 @@ def test_chunks(spark):
         for r in sorted(P.chunk_texts(df, "id", "text", 60, overlap).collect(), key=lambda r: (r.id, r.chunk_index)):
             got.setdefault(r.id, []).append((r.text, r.token_count))
         assert got == {i: c for i, t in enumerate(texts) if (c := _chunks(t, 60, overlap))}
+
+
+def test_dates(spark):
+    import datetime as dt
+
+    from lodestrata.functions import dates as DT
+
+    texts = ["on 2024-02-30 or 2024-02-29", "May 5, 2024 and 6 May 2024", "none", None]
+    assert _one(spark, texts, DT.dates_in) == [[dt.date(2024, 2, 29)], [dt.date(2024, 5, 5), dt.date(2024, 5, 6)], [], None]
+    assert _one(spark, texts, lambda c: DT.date_score(F.lit("2024-05-07").cast("date"), c)) == [None, 0.0, None, None]
+    assert _one(spark, ["2024-01-01 00:00:00", "2024-01-02 12:00:00"], lambda c: DT.within_hours(c.cast("timestamp"), "2024-01-03 00:00:00", 24)) == [False, True]
+
+
+def test_command_line(capsys):
+    from lodestrata.__main__ import main
+
+    assert main(["list"]) == 0 and "vote_fields" in capsys.readouterr().out
+
+
+def test_schemas_parse(spark):
+    from pyspark.sql.types import StructType
+
+    from lodestrata import schemas
+
+    for k, v in vars(schemas).items():
+        if k.isupper() and not v.startswith("struct<"):
+            assert isinstance(spark.createDataFrame([], v).schema, StructType)
