@@ -109,11 +109,11 @@ def _shared(pages: list[dict], i: int, k: int) -> None:
     if body(p, mine) > 0.6 * max(1, min(body(p, range(len(p["ids"]))), body(q, range(len(q["ids"]))))) and any(len(p["lines"][t][5]) > 160 for t in mine):
         return
     theirs = common(q["ids"], p["ids"])
-    p["shared"][mine] = True
-    q["shared"][theirs] = True
+    p["shared"][mine] += 1
+    q["shared"][theirs] += 1
 
 
-_LINES = "page_id long, line_no int, host string, marked boolean, tag string, cls string, block boolean, link boolean, sentences int, listed boolean, row boolean, vis string, shared boolean"
+_LINES = "page_id long, line_no int, host string, marked boolean, tag string, cls string, block boolean, link boolean, sentences int, listed boolean, row boolean, vis string, votes int, shared boolean"
 
 
 def page_lines(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "payload") -> DataFrame:
@@ -129,7 +129,7 @@ def page_lines(pages: DataFrame, page_id: str = "page_id", url: str = "url", pay
 
         def give(p):
             for (n, tag, cls, block, link, v), key, s in zip(p["lines"], p["norm"], p["shared"], strict=True):
-                yield (p["page_id"], n, p["host"], p["marked"], tag, cls, block, link, 1 + len(_END.findall(v)), bool(_MARK.match(v)), _is_row(v), key, bool(s))
+                yield (p["page_id"], n, p["host"], p["marked"], tag, cls, block, link, 1 + len(_END.findall(v)), bool(_MARK.match(v)), _is_row(v), key, int(s), bool(s))
 
         def frame(rows):
             return pd.DataFrame(rows, columns=[x.split()[0] for x in _LINES.split(", ")])
@@ -143,7 +143,7 @@ def page_lines(pages: DataFrame, page_id: str = "page_id", url: str = "url", pay
                     ids = {}
                     for p in window:
                         p["ids"] = [ids.setdefault(k, len(ids)) for k in p["norm"]]
-                p = {"page_id": pid, "host": host, "path": path, "marked": marked, "lines": lines, "norm": keys, "ids": [ids.setdefault(k, len(ids)) for k in keys], "shared": np.zeros(len(lines), bool)}
+                p = {"page_id": pid, "host": host, "path": path, "marked": marked, "lines": lines, "norm": keys, "ids": [ids.setdefault(k, len(ids)) for k in keys], "shared": np.zeros(len(lines), np.int32)}
                 window.append(p)
                 for k in range(len(window) - 1):
                     _shared(window, k, len(window) - 1)
@@ -167,7 +167,8 @@ def _choose(p: pd.DataFrame) -> list[int]:
             if inside:
                 keep.append(r.line_no)
         return keep
-    bad = [bool(r.row or (r.furniture if r.furniture is not None else r.shared)) for r in rows]
+    # of a text that no marked-up page has, two neighbours must say so; list items are often alike
+    bad = [bool(r.row or (r.furniture if r.furniture is not None else r.votes > 1 and not r.listed)) for r in rows]
     end = len(rows)
     while end and bad[end - 1]:
         end -= 1
@@ -201,7 +202,7 @@ def main_content(pages: DataFrame, page_id: str = "page_id", url: str = "url", p
     texts = seen.where("ever OR n > 2").select("vis", (F.col("bad") > 0.5).alias("text_bad"))
     tag_says = F.when(F.col("tag").isin("h1", "h2", "p", "li", "b", "+"), F.lit(False)).when(F.col("tag").isin("span", "h3"), F.lit(True))
     furniture = F.when(F.col("marked"), F.coalesce(F.col("sure"), F.when(F.col("cls") == "", tag_says), F.col("text_bad"), tag_says, F.col("shared"))).otherwise(F.col("text_bad"))
-    judged = known.join(texts, "vis", "left").withColumn("furniture", furniture).select("page_id", "line_no", "marked", "tag", "block", "link", "sentences", "listed", "row", "vis", "shared", "furniture")
+    judged = known.join(texts, "vis", "left").withColumn("furniture", furniture).select("page_id", "line_no", "marked", "tag", "block", "link", "sentences", "listed", "row", "vis", "votes", "furniture")
 
     def pick(batches):
         held = None
