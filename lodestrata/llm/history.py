@@ -326,13 +326,13 @@ def _first_of(m: DataFrame, new: DataFrame) -> DataFrame:
     return one.unionAll(two)
 
 
-def similar_texts(docs: DataFrame, later: DataFrame) -> DataFrame:
-    """(id, kept) by text. ``docs``: id, text; ``later``: id, batch_no of the manifests of later batches.
+def similar_texts(docs: DataFrame, batches: DataFrame) -> DataFrame:
+    """(id, kept) by text. ``docs``: id, text; ``batches``: id, batch_no of all manifests; texts of other ids are left out.
 
     Equal texts are one class, matched by its first member; only classes with a member in a later batch search.
     """
     d = stage(embed_texts(docs, "id", "text"), "texts")
-    m = d.select(F.col("key").alias("id"), "same").join(later, "id", "left").select("id", "same", F.coalesce("batch_no", F.lit(0)).alias("batch_no"))
+    m = d.select(F.col("key").alias("id"), "same").join(batches, "id")
     cls = m.groupBy("same").agg(F.min("id").alias("first"), F.max("batch_no").alias("newest"), F.min_by("batch_no", "id").alias("batch_no"))
     rows = d.where("n >= 9").join(cls.select(F.col("first").alias("key"), "same", "newest", "batch_no"), ["key", "same"]).dropDuplicates(["key", "same"])  # nine words can differ from ten by one; of fewer none may differ
     rows = stage(segments(rows.select("key", "n", "vec", "bag", "batch_no", "newest")), "vectors")
@@ -355,9 +355,8 @@ def duplicates_of_history(manifests: DataFrame, docs: DataFrame) -> DataFrame:
         F.col("manifest_id").cast("long").alias("id"), F.coalesce("batch_no", F.lit(0)).alias("batch_no"), digest(F.col("content_hash")).alias("h"), normalize_url(F.regexp_replace("url", r"^[\s ]+|[\s ]+$", ""), keep_scheme=False).alias("u")
     ).where("id IS NOT NULL")
     m = stage(m, "manifests")
-    texts = docs.select(F.col("manifest_id").cast("long").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL").join(m.select("id"), "id", "left_semi")
-    new = m.where("batch_no > 0")
-    found = _first_of(m, new).unionAll(similar_texts(texts, new.groupBy("id").agg(F.max("batch_no").alias("batch_no"))))
+    texts = docs.select(F.col("manifest_id").cast("long").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL")
+    found = _first_of(m, m.where("batch_no > 0")).unionAll(similar_texts(texts, m.groupBy("id").agg(F.max("batch_no").alias("batch_no"))))
     return found.groupBy(F.col("id").alias("manifest_id")).agg(F.min("kept").alias("kept_id")).select("kept_id", "manifest_id")
 
 
