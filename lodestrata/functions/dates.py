@@ -20,12 +20,12 @@ def _at(c: Column, fmt: str) -> Column:
 
 
 def dates_in(c: Column) -> Column:
-    """array<date> of the calendar dates in a text, by way of writing."""
+    """array<date> of the calendar dates in a text, by way of writing; there is no year 0."""
 
     def one(pattern: str, fmt: str) -> Column:
         return F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), lambda x: _at(x, fmt))
 
-    return F.filter(F.concat(*[one(p, f) for p, f in WRITTEN]), lambda x: x.isNotNull())
+    return F.filter(F.concat(*[one(p, f) for p, f in WRITTEN]), lambda x: F.year(x) > 0)
 
 
 def first_date(c: Column) -> Column:

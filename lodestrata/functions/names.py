@@ -16,18 +16,26 @@ BROAD = (
     r"\b(?:inc\.?|ltd\.?|corp\.?|llc\.?|plc\.?|gmbh|co\.?|limited|corporation|company|technologies|labs?|ai|group|holdings?|ventures?|studios?|software|systems|platform"
     r"|networks?|solutions|services|international|global|digital)\b"
 )
+# Word characters, their borders and blanks as the reference's patterns have them, in any script.
+_W = r"[\p{L}\p{N}_]"
+_EDGE = rf"(?:(?<={_W})(?!{_W})|(?<!{_W})(?={_W}))"
+BLANK = r"[\s\x1c-\x1f\x85\p{Z}]"
 SCHEMA_VERSION, PROMPT_VERSION = "1.0", 4
 
 
 def squeeze(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    return F.trim(F.regexp_replace(c, BLANK + "+", " "))
+
+
+def _any_script(p: str) -> str:
+    return p.replace(r"\b", _EDGE).replace(r"\s", BLANK)
 
 
 def sanitize_entity_name(c: Column) -> Column:
     """Lower case without legal suffixes, blanks collapsed, punctuation stripped at the edges."""
     x = F.trim(F.lower(c))
     for p in LEGAL:
-        x = F.regexp_replace(x, p, "")
+        x = F.regexp_replace(x, _any_script(p), "")
     return F.trim(F.btrim(squeeze(x), F.lit(".,;:!?-—–")))
 
 
@@ -45,8 +53,8 @@ def decomposed(c: Column) -> Column:
 def normalize_entity_name(c: Column, decompose: bool = True) -> Column:
     """Name for matching: NFKD, lower case, no parentheses, no suffix words anywhere, joiners as blanks, edges stripped."""
     x = F.trim(F.lower(decomposed(c) if decompose else c))
-    x = F.regexp_replace(x, r"\s*\(.*?\)\s*", " ")
-    x = F.regexp_replace(F.regexp_replace(x, BROAD, ""), r"[-–—_]+", " ")
+    x = F.regexp_replace(x, _any_script(r"\s*\([^\n]*?\)\s*"), " ")
+    x = F.regexp_replace(F.regexp_replace(x, _any_script(BROAD), ""), r"[-–—_]+", " ")
     return F.btrim(squeeze(x), F.lit(".,;:!?-—–'\""))
 
 

@@ -113,6 +113,55 @@ def vector_match(probes: DataFrame, seeds: DataFrame) -> DataFrame:
     return best.withColumn("band", F.when(F.col("score") >= ACCEPT, "accept").when(F.col("score") >= REVIEW, "review").otherwise("none"))
 
 
+def nearest_vectors(probes: DataFrame, seeds: DataFrame) -> DataFrame:
+    """As :func:`vector_match`, but for few probes against a whole table: the probes go to the tasks in blocks, the seeds are
+    scanned where they lie. A seed with the probe's own id is not compared."""
+    import numpy as np
+    import pandas as pd
+
+    def scaled(v):
+        x = np.stack([np.asarray(r, np.float64) for r in v])
+        n = np.linalg.norm(x, axis=1, keepdims=True)
+        return np.divide(x, n, out=np.zeros_like(x), where=n > 0)
+
+    s = seeds.where("vec IS NOT NULL").select("seed_id", "vec")
+    p = probes.where("vec IS NOT NULL").select("pid", "vec")
+    schema = f"pid {p.schema['pid'].dataType.simpleString()}, seed_id {s.schema['seed_id'].dataType.simpleString()}, score double"
+    blocks: list[list] = [[]]
+    for r in p.toLocalIterator():
+        if len(blocks[-1]) == SEED_BLOCK:
+            blocks.append([])
+        blocks[-1].append((r.pid, list(r.vec)))
+    out = None
+    for block in blocks:
+        shared = probes.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches, shared=shared):
+            if not shared.value:
+                return
+            pids = np.array([i for i, _ in shared.value])
+            m = scaled([v for _, v in shared.value])
+            best, at = np.full(len(pids), -np.inf), np.zeros(len(pids), pids.dtype)
+            for b in batches:
+                if not len(b):
+                    continue
+                b = b.sort_values("seed_id")
+                ids = b["seed_id"].to_numpy()
+                x = np.round(m @ scaled(b["vec"]).T, 6)
+                x[pids[:, None] == ids[None, :]] = -np.inf
+                k = x.argmax(1)  # the first of equals: a batch is in order of id
+                top = x[np.arange(len(pids)), k]
+                take = (top > best) | (top == best) & (top > -np.inf) & (ids[k] < at)
+                best, at = np.where(take, top, best), np.where(take, ids[k], at)
+            ok = best > -np.inf
+            yield pd.DataFrame({"pid": pids[ok], "seed_id": at[ok], "score": best[ok]})
+
+        x = s.mapInPandas(run, schema)
+        out = x if out is None else out.unionAll(x)
+    out = out.groupBy("pid").agg(F.min(F.struct((-F.col("score")).alias("x"), "seed_id", "score")).alias("b")).select("pid", "b.seed_id", "b.score")
+    return out.withColumn("band", F.when(F.col("score") >= ACCEPT, "accept").when(F.col("score") >= REVIEW, "review").otherwise("none"))
+
+
 def resolve_cascade(queries: DataFrame, seeds: DataFrame, fuzzy: bool = True) -> DataFrame:
     """``qid, canonical_id, method, confidence``: exact, then normalized, then fuzzy, else a new identifier.
 

@@ -199,7 +199,7 @@ for _p in ("inc\\.?", "ltd\\.?", "corp\\.?", "llc\\.?", "plc\\.?", "gmbh", "co\\
 
 @query(f"""SELECT id, trim(trim(trim(regexp_replace({_LEGAL_SQL}, '\\s+', ' ', 'g')), '.,;:!?-—–')) AS clean FROM review_items WHERE regexp_full_match(extracted_name, '[\\x00-\\x7F]*')""")
 def name_sanitize(spark, d):
-    return load(spark, d, "review_items").where(F.col("extracted_name").rlike(r"^[\x00-\x7F]*$")).select("id", N.sanitize_entity_name(F.col("extracted_name")).alias("clean"))
+    return load(spark, d, "review_items").where("extracted_name IS NOT NULL").select("id", N.sanitize_entity_name(F.col("extracted_name")).alias("clean"))
 
 
 _NORM_NAME = "trim(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(lower({0})), '\\s*\\(.*?\\)\\s*', ' ', 'g'), '" + N.BROAD + "', '', 'g'), '[-–—_]+', ' ', 'g'), '\\s+', ' ', 'g')), '.,;:!?-—–''\"')"
@@ -207,7 +207,7 @@ _NORM_NAME = "trim(trim(regexp_replace(regexp_replace(regexp_replace(regexp_repl
 
 @query(f"SELECT record_id, {_NORM_NAME.format('entity_name')} AS normalized, 'startup_' || CASE WHEN {_NORM_NAME.format('entity_name')} = '' THEN 'unknown' ELSE trim(regexp_replace(regexp_replace(regexp_replace({_NORM_NAME.format('entity_name')}, '\\s+', '-', 'g'), '[^a-z0-9-]', '', 'g'), '-+', '-', 'g'), '-') END AS canonical FROM startups WHERE entity_name IS NOT NULL AND regexp_full_match(entity_name, '[\\x00-\\x7F]*')")
 def name_normalize(spark, d):
-    x = load(spark, d, "startups").where(F.col("entity_name").rlike(r"^[\x00-\x7F]*$"))
+    x = load(spark, d, "startups").where("entity_name IS NOT NULL")
     return x.select("record_id", N.normalize_entity_name(F.col("entity_name")).alias("normalized"), N.canonical_id(F.col("entity_name"), F.lit("STARTUP")).alias("canonical"))
 
 
@@ -238,7 +238,7 @@ def content_dedup(spark, d):
   SELECT manifest_id, source_name, cast(fetched_at AT TIME ZONE 'UTC' AS date) AS day, 'https://' || host || rtrim(path, '/') || CASE WHEN q = '' THEN '' ELSE '?' || q END AS k
   FROM (SELECT *, {_KEEP.format("", _SHORT, "")} AS q FROM (SELECT manifest_id, source_name, fetched_at, {_NORM} FROM crawl_manifests WHERE url IS NOT NULL AND fetched_at IS NOT NULL AND source_name IS NOT NULL AND lower(url) = url)))""")
 def url_day_dedup(spark, d):
-    x = load(spark, d, "crawl_manifests").where("url IS NOT NULL AND fetched_at IS NOT NULL AND source_name IS NOT NULL AND lower(url) = url")
+    x = load(spark, d, "crawl_manifests").where("url IS NOT NULL AND fetched_at IS NOT NULL AND source_name IS NOT NULL")
     return D.url_day_dedup(x, N.dedup_hash(F.col("url"), F.lit(""), F.col("source_name")), "fetched_at", "manifest_id").select("manifest_id", F.col("day").cast("string").alias("day"), "is_duplicate")
 
 
@@ -498,6 +498,13 @@ def embedding_match(spark, d):
     return R.vector_match(e.where("vec_id >= 50").select(F.col("vec_id").alias("pid"), F.col("embedding").alias("vec")), e.where("vec_id < 50").select(F.col("vec_id").alias("seed_id"), F.col("embedding").alias("vec")))
 
 
+@query("""WITH c AS (SELECT p.vec_id AS pid, s.vec_id AS seed_id, round(list_cosine_similarity(p.embedding::DOUBLE[], s.embedding::DOUBLE[]), 6) AS score FROM embeddings p, embeddings s WHERE p.vec_id % 100 = 0 AND s.vec_id <> p.vec_id)
+  SELECT pid, arg_min(seed_id, {'s': -score, 'i': seed_id}) AS seed_id, max(score) AS score, CASE WHEN max(score) >= 0.88 THEN 'accept' WHEN max(score) >= 0.75 THEN 'review' ELSE 'none' END AS band FROM c GROUP BY 1""")
+def embedding_nearest(spark, d):
+    e = load(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    return R.nearest_vectors(e.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "pid"), e.withColumnRenamed("vec_id", "seed_id"))
+
+
 @query("SELECT id, extracted_name, record_type FROM review_items WHERE status = 'needs_review'")
 def review_pending(spark, d):
     return load(spark, d, "review_items").where("status = 'needs_review'").select("id", "extracted_name", "record_type")
@@ -578,8 +585,7 @@ def chunk_documents(spark, d):
 
 @query("""SELECT page_id, trim(regexp_replace(regexp_extract(payload, '<title>([^<]*)</title>', 1), '\\s+', ' ', 'g')) AS title FROM raw_pages WHERE regexp_matches(payload, '<title>[^<&]*</title>')""")
 def html_meta(spark, d):
-    x = load(spark, d, "raw_pages").where(F.col("payload").rlike("<title>[^<&]*</title>"))
-    return P.page_parts(x, "page_id", "payload").select("page_id", "title")
+    return P.page_parts(load(spark, d, "raw_pages"), "page_id", "payload").select("page_id", "title")
 
 
 @query()
@@ -599,7 +605,7 @@ def json_fields(spark, d):
 
 @query("SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '[\\x00-\\x08\\x0b-\\x1f\\x7f-\\x9f]', '', 'g'), '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), ' ') AS clean FROM documents WHERE text IS NOT NULL AND NOT contains(text, '&') AND NOT regexp_matches(text, '[\\x{00A0}\\x{0085}\\x{2000}-\\x{200B}\\x{202F}\\x{3000}\\r\\f\\v]')")
 def sanitize_text(spark, d):
-    x = load(spark, d, "documents").where("text IS NOT NULL AND NOT contains(text, '&')").where(~F.col("text").rlike(r"[ \u0085 -​ 　\r\f\x0b]"))
+    x = load(spark, d, "documents").where("text IS NOT NULL")
     return x.select("doc_id", N.sanitize_text(F.col("text")).alias("clean"))
 
 
@@ -678,7 +684,7 @@ def chunk_merge(spark, d):
   list_transform(regexp_extract_all(raw, '\\d{4}-\\d{2}-\\d{2}'), lambda x: try_strptime(x, '%Y-%m-%d')), list_transform(regexp_extract_all(raw, '(?:January|February|March|April|May|June|July|August|September|October|November|December) \\d{1,2}, \\d{4}'), lambda x: try_strptime(x, '%B %-d, %Y')),
   list_transform(regexp_extract_all(raw, '\\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \\d{4}'), lambda x: try_strptime(x, '%-d %B %Y'))), lambda x: x IS NOT NULL AND year(x) > 0))::date AS d FROM parsed_dates WHERE raw IS NOT NULL AND NOT contains(raw, '0000')) GROUP BY 1""")
 def dates_in_text(spark, d):
-    x = load(spark, d, "parsed_dates").where("raw IS NOT NULL AND NOT contains(raw, '0000')").withColumn("ds", DT.dates_in(F.col("raw"))).where(F.size("ds") > 0)
+    x = load(spark, d, "parsed_dates").where("raw IS NOT NULL").withColumn("ds", DT.dates_in(F.col("raw"))).where(F.size("ds") > 0)
     return x.select("parsed_id", F.array_min("ds").cast("string").alias("first_day"), F.size("ds").cast("long").alias("dates"))
 
 
