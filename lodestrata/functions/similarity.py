@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,6 +34,38 @@ def token_sort_ratio(a: str, b: str) -> float:
     return ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
 
 
+#: Windows that are compared at once.
+WINDOWS = 1 << 15
+
+
+def _window_lcs(a: str, codes: np.ndarray) -> np.ndarray:
+    """LCS of ``a`` with every window of its length in ``codes``: bit-parallel over ``a``, all windows in step."""
+    n, k = len(a), -(-len(a) // 64)
+    letters, at = np.unique(np.frombuffer(a.encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
+    table = np.zeros((k, len(letters) + 1), np.uint64)  # the last column is for what ``a`` does not have
+    for i, x in enumerate(at):
+        table[i // 64, x] |= np.uint64(1) << np.uint64(i % 64)
+    where = np.minimum(np.searchsorted(letters, codes), len(letters) - 1)
+    masks = table[:, np.where(letters[where] == codes, where, len(letters))]
+    w = len(codes) - n + 1
+    v = np.full((k, w), np.iinfo(np.uint64).max, np.uint64)
+    for i in range(n):
+        carry = None
+        for t in range(k):
+            x = v[t]
+            u = x & masks[t, i : i + w]
+            y = x + u
+            over = y < x
+            if carry is not None:
+                y += carry
+                over |= y < carry
+            v[t] = y | (x & ~u)
+            carry = over.astype(np.uint64)
+    if n % 64:
+        v[-1] |= ~np.uint64((1 << n % 64) - 1)
+    return 64 * k - np.bitwise_count(v).sum(0, dtype=np.int64)
+
+
 def partial_ratio(a: str, b: str) -> float:
     """Best ratio of the shorter string and any window of the longer one of up to its length. Empty against text: 0."""
     if len(a) > len(b):
@@ -41,12 +74,16 @@ def partial_ratio(a: str, b: str) -> float:
         return 100.0 if not b else 0.0
     if a in b:
         return 100.0
-    n, best, chars = len(a), 0.0, set(a)
-    for end in range(1, len(b) + n):
-        lo, hi = max(0, end - n), min(end, len(b))
-        # a window that does not start and end with a character of the shorter string is never the best
-        if b[hi - 1] in chars or b[lo] in chars:
-            best = max(best, ratio(a, b[lo:hi]))
+    n, m = len(a), len(b)
+    # windows that stick out at either end are shorter ones: no letter of ``a`` is there
+    out = np.full(n - 1, 0xFFFFFFFF, np.uint32)
+    codes = np.concatenate([out, np.frombuffer(b.encode("utf-32-le", "surrogatepass"), np.uint32), out])
+    end = np.arange(1, m + n)
+    size = np.minimum(end, m) - np.maximum(0, end - n)
+    best = 0.0
+    for lo in range(0, len(end), WINDOWS):
+        hi = min(lo + WINDOWS, len(end))
+        best = max(best, float((200.0 * _window_lcs(a, codes[lo : hi + n - 1]) / (n + size[lo:hi])).max()))
     return best
 
 

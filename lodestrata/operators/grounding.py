@@ -1,7 +1,7 @@
 """Grounding of extracted fields in their source text, fabrication checks and trust, on the long field table.
 
 Columns expected: record_id, record_type, field_name, value, evidence, confidence and source (the text it was taken from).
-Native expressions only; the similarity ratios that have none are in ``functions.similarity``.
+Native expressions but for evidence that the source does not have literally, whose ratio is computed in Arrow batches.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.similarity import partial_ratio_udf
 from .voting import TIES, normalized_value
 
 # Generic openers, commonly assumed values, outlier bounds, required and classified fields.
@@ -20,6 +21,8 @@ DATE_FIELDS = "foundedDate launchDate publishedDate postedDate closingDate lastU
 URL_FIELDS = "website githubUrl linkedinUrl twitterUrl crunchbaseUrl productHuntUrl arxivUrl".split()
 URL_CHECKED = ["website", "url", "sourceUrl", "githubUrl"]
 URL_SHAPE = r"^https?://[a-zA-Z0-9]([a-zA-Z0-9-]*[a-zA-Z0-9])?(\.[a-zA-Z0-9]([a-zA-Z0-9-]*[a-zA-Z0-9])?)*(/\S*)?$"
+#: Least ratio of evidence and source that grounds a text, and that a number needs besides being in the source.
+TEXT_RATIO, NUMBER_RATIO = 90.0, 70.0
 MULTIPLES = {"k": 1e3, "thousand": 1e3, "m": 1e6, "mm": 1e6, "million": 1e6, "b": 1e9, "bn": 1e9, "billion": 1e9, "t": 1e12, "trillion": 1e12}
 NUMBER = r"(\d[\d,]*\.?\d*)(?:\s*(?i:(thousand|million|billion|trillion|mm|bn|k|m|b|t))(?:[^\p{L}\p{N}_]|$))?"
 
@@ -61,17 +64,29 @@ def word_overlap(words: Column, source: Column) -> Column:
 
 
 def verify_field(d: DataFrame) -> DataFrame:
-    """``d`` plus status (GROUNDED, UNVERIFIED, MISSING) and grounding 0..100 by substring, number or address."""
+    """``d`` plus status (GROUNDED, UNVERIFIED, MISSING) and grounding 0..100.
+
+    A text is grounded where its evidence is at least ``TEXT_RATIO`` like some part of the source, a number where the source
+    has it and the evidence is at least ``NUMBER_RATIO`` like, an address where the source contains it. Evidence that the
+    source contains (blanks do not count) is 100 like; only for the rest is the partial ratio computed.
+    """
     value, ev, src = F.trim("value"), F.trim("evidence"), F.col("source")
     is_num = F.regexp_replace(value, r"[$€£¥,\s]", "").rlike(r"^\d+\.?\d*[BMKbmk]?$")
-    is_url = F.lower(value).rlike(r"^(https?://|www\.)")
+    is_url = ~is_num & F.lower(value).rlike(r"^(https?://|www\.)")
     x = first_number(value)
-    num_ok = near_number(x, all_numbers(src)) & (x != 0)
+    num_ok = F.coalesce(near_number(x, all_numbers(src)) & (x != 0), F.lit(False))
     bare = F.regexp_replace(F.regexp_replace(F.lower(value), r"/+$", ""), r"^https?://", "")
-    text_ok = F.contains(flat(src), flat(ev))
-    ok = F.when(is_num, num_ok & text_ok).when(is_url, F.contains(F.lower(src), bare)).otherwise(text_ok)
-    status = F.when(F.coalesce(value, F.lit("")) == "", "MISSING").when(F.coalesce(ev, F.lit("")) == "", "UNVERIFIED").when(ok, "GROUNDED").otherwise("UNVERIFIED")
-    return d.withColumn("status", status).withColumn("grounding", F.when(F.col("status") == "GROUNDED", 100.0).otherwise(0.0))
+    blank = F.coalesce(value, F.lit("")) == ""
+    unproved = F.coalesce(ev, F.lit("")) == ""
+    inside = F.coalesce(F.contains(flat(src), flat(ev)), F.lit(False))
+    d = d.withColumn("_open", ~blank & ~unproved & ~is_url & ~inside)
+    d = d.withColumn("_like", F.coalesce(partial_ratio_udf(F.when(F.col("_open"), F.lower(ev)), F.when(F.col("_open"), F.lower(src))), F.lit(0.0)))
+    like = F.when(F.col("_open"), F.col("_like")).otherwise(100.0)
+    url_ok = F.coalesce(F.contains(F.lower(src), bare), F.lit(False))
+    ok = F.when(is_num, num_ok & (like >= NUMBER_RATIO)).when(is_url, url_ok).otherwise(like >= TEXT_RATIO)
+    status = F.when(blank, "MISSING").when(unproved, "UNVERIFIED").when(ok, "GROUNDED").otherwise("UNVERIFIED")
+    score = F.when(blank | unproved, 0.0).when(is_num & ok, 100.0).when(is_url, F.when(url_ok, 100.0).otherwise(0.0)).otherwise(like)
+    return d.withColumn("status", status).withColumn("grounding", F.round(score, 6)).drop("_open", "_like")
 
 
 def _flag(kind: str, severity: str, when: Column) -> Column:

@@ -8,6 +8,8 @@ import re
 import numpy as np
 import pytest
 
+from lodestrata.functions import similarity as S
+from lodestrata.operators import grounding as G
 from lodestrata.operators import resolve as R
 from lodestrata.plans import reference as Q
 
@@ -78,3 +80,39 @@ def test_nearest_vectors_against_brute_force(spark, monkeypatch):
         s, k = max((round(float(unit[p] @ unit[q]), 6), -q) for q in vec if q != p)
         want[p] = (-k, s)
     assert got == want
+
+
+def _plain_partial_ratio(a, b):
+    a, b = sorted((a, b), key=len)
+    ends = range(1, len(b) + len(a))
+    return max(S.ratio(a, b[max(0, e - len(a)) : min(e, len(b))]) for e in ends)
+
+
+def test_partial_ratio_against_brute_force(monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(S, "WINDOWS", 50)
+    for n in [1, 2, 5, 31, 63, 64, 65, 127, 128, 129, 200]:
+        for letters in ("ab", "abcdefgh \U0001f600é"):
+            a, b = ("".join(rng.choices(letters, k=k)) for k in (n, n + rng.randint(1, 150)))
+            assert S.partial_ratio(a, b) == pytest.approx(_plain_partial_ratio(a, b), abs=1e-9)
+            assert S.partial_ratio("x" * n, b) == 0.0
+
+
+def test_evidence_with_a_slip_is_grounded(spark):
+    src = "Acme closed a round of $7.3 million. The company was founded in 2015 by two people from Ludovia."
+    rows = [
+        ("industry", "Ludovia", "two people fron Ludovia"),  # one letter wrong
+        ("fundingTotal", "7.3M", "It is known that Acme closed a round of $7.3 million"),  # 70 to 89, and the source has the number
+        ("foundedDate", "2300", "The company was founded in 2300 by two people"),  # like, but the source has no such number
+        ("employeeCount", "2015", "words that are nowhere in the page"),
+        ("founders", "Zed", "words that are nowhere in the page"),
+        ("website", "https://acme.test", "Acme closed a round"),
+    ]
+    d = spark.createDataFrame([(1, f, v, e, 0.9, src) for f, v, e in rows], "record_id long, field_name string, value string, evidence string, confidence double, source string")
+    got = {r.field_name: (r.status, r.grounding) for r in G.verify_field(d).collect()}
+    like = {f: _plain_partial_ratio(e.lower(), src.lower()) for f, _, e in rows}
+    assert 90 <= like["industry"] < 100 and 70 <= like["fundingTotal"] < 90 and like["foundedDate"] >= 90 and like["founders"] < 70
+    assert got == {
+        "industry": ("GROUNDED", pytest.approx(like["industry"])), "fundingTotal": ("GROUNDED", 100.0), "foundedDate": ("UNVERIFIED", pytest.approx(like["foundedDate"])),
+        "employeeCount": ("UNVERIFIED", pytest.approx(like["employeeCount"])), "founders": ("UNVERIFIED", pytest.approx(like["founders"])), "website": ("UNVERIFIED", 0.0),
+    }
