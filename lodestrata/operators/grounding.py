@@ -93,8 +93,8 @@ def _flag(kind: str, severity: str, when: Column) -> Column:
     return F.when(when, F.struct(F.lit(kind).alias("check_type"), F.lit(severity).alias("severity")))
 
 
-def field_flags(d: DataFrame, now_year: int, min_evidence: int = 10, inflation: float = 0.35) -> DataFrame:
-    """``record_id, field_name, check_type, severity``: one row per failed check of a field."""
+def field_checks(d: DataFrame, now_year: int, min_evidence: int = 10, inflation: float = 0.35) -> DataFrame:
+    """``d`` plus ``flags``, an array of (check_type, severity) of the field's failed checks; null for a blank value."""
     v, e, src = F.coalesce(F.col("value"), F.lit("")), F.coalesce(F.col("evidence"), F.lit("")), F.col("source")
     words = F.split(flat(e), " ")
     short = F.length(e) < min_evidence
@@ -123,7 +123,17 @@ def field_flags(d: DataFrame, now_year: int, min_evidence: int = 10, inflation:
         _flag("url_format", "warning", F.col("field_name").isin(URL_CHECKED) & ~v.rlike(URL_SHAPE)),
         _flag("outlier", "critical", (amount < low) | (amount > high)),
     )
-    return d.where(F.trim(v) != "").select("record_id", "field_name", F.explode(F.filter(checks, lambda x: x.isNotNull())).alias("f")).select("record_id", "field_name", "f.*")
+    return d.withColumn("flags", F.filter(F.when(F.trim(v) != "", checks), lambda x: x.isNotNull()))
+
+
+def flag_rows(checked: DataFrame) -> DataFrame:
+    """``record_id, field_name, check_type, severity``: one row per flag of :func:`field_checks`."""
+    return checked.select("record_id", "field_name", F.explode("flags").alias("f")).select("record_id", "field_name", "f.*")
+
+
+def field_flags(d: DataFrame, now_year: int, min_evidence: int = 10, inflation: float = 0.35) -> DataFrame:
+    """``record_id, field_name, check_type, severity``: one row per failed check of a field."""
+    return flag_rows(field_checks(d.where(F.trim("value") != ""), now_year, min_evidence, inflation))
 
 
 def duplicate_evidence(d: DataFrame, least: int = 3) -> DataFrame:
@@ -145,6 +155,34 @@ def missing_required(d: DataFrame, required: list[str]) -> DataFrame:
     return all_.select("record_id", m.alias("missing")).where("missing > 0").withColumn("severity", F.when(F.col("missing") > 1, "critical").otherwise("warning"))
 
 
+def cross_field(d: DataFrame) -> DataFrame:
+    """``record_id, field_name, check_type, severity``: contradictions between a record's description and its other fields.
+
+    Every "founded (in) YYYY" of the description that is not the founded year is critical; a first amount that is not the
+    funding's first amount is a warning. A record with several rows of a field is held against the last by ``value``.
+    """
+    of = lambda n: F.max(F.when(F.col("field_name") == n, F.col("value"))).alias(n)
+    x = d.where(F.col("field_name").isin("foundedDate", "fundingTotal", "description")).groupBy("record_id").agg(of("foundedDate"), of("fundingTotal"), of("description"))
+    year = F.regexp_extract("foundedDate", r"\d{4}", 0)
+    told = F.regexp_extract_all("description", F.lit(r"(?i)founded\s+(?:in\s+)?(\d{4})"), F.lit(1))
+    amount = lambda c: F.lower(F.regexp_extract(c, r"(?i)\$[\d.]+\s*[BMK]", 0))
+    years = F.transform(F.filter(told, lambda y: (year != "") & (y != year)), lambda y: F.struct(F.lit("foundedDate↔description").alias("field_name"), F.lit("contradiction").alias("check_type"), F.lit("critical").alias("severity")))
+    a, b = amount("fundingTotal"), amount("description")
+    funding = F.when((a != "") & (b != "") & (a != b), F.array(F.struct(F.lit("fundingTotal↔description").alias("field_name"), F.lit("contradiction").alias("check_type"), F.lit("warning").alias("severity"))))
+    none = F.array().cast("array<struct<field_name:string,check_type:string,severity:string>>")
+    return x.select("record_id", F.explode(F.concat(F.coalesce(years, none), F.coalesce(funding, none))).alias("f")).select("record_id", "f.*")
+
+
+def record_flags(d: DataFrame, required: list[str]) -> DataFrame:
+    """``record_id, field_name, check_type, severity``: one row per failed check of a whole record; together with
+    :func:`field_flags` these are the flags that trust and record status read."""
+    flag = lambda x, name, kind, severity: x.select("record_id", name.alias("field_name"), F.lit(kind).alias("check_type"), severity.alias("severity"))
+    warning = F.lit("warning")
+    out = cross_field(d).unionByName(flag(duplicate_evidence(d), F.lit("*"), "duplicate_evidence", warning))
+    out = out.unionByName(flag(uniform_confidence(d), F.lit("*"), "uniformity", warning))
+    return out.unionByName(flag(missing_required(d, required), F.lit("*"), "completeness", F.col("severity")))
+
+
 def trust(d: DataFrame, flags: DataFrame) -> DataFrame:
     """``record_id, fields_checked, critical, warnings, infos, trust_score, recommendation, trustworthy``."""
     checked = d.where(F.trim("value") != "").groupBy("record_id").agg(F.count(F.lit(1)).alias("fields_checked"))

@@ -17,7 +17,7 @@ from ..operators import resolve as R
 from ..operators import scoring as S
 from ..operators import upserts as D
 from ..operators import voting as V
-from ..session import load
+from ..session import load, stage
 
 NOW = "2024-11-15 00:00:00"
 
@@ -418,6 +418,18 @@ def _flags(spark, d):
     return v, G.field_flags(v, 2024)
 
 
+#: The fields that these rules must find in every record.
+_REQUIRED = ["fundingTotal", "foundedDate", "employeeCount"]
+
+
+def _all_flags(spark, d):
+    """The fields and the flags of all checks, of fields and of whole records."""
+    x = G.field_checks(G.verify_field(_fields(spark, d)), 2024)
+    # every check reads the fields, so they are verified once and kept without their texts
+    x = stage(x.select("record_id", "field_name", "value", "evidence", "confidence", "status", "flags"), "checked-fields")
+    return x, G.flag_rows(x).unionByName(G.record_flags(x, _REQUIRED))
+
+
 @query(f"WITH {_VERIFIED_SQL} SELECT record_id, field_name, CASE field_name WHEN 'foundedDate' THEN 'date' WHEN 'website' THEN 'url' ELSE 'numeric' END AS field_class, status, CASE WHEN status = 'GROUNDED' THEN 100.0 ELSE 0.0 END::double AS grounding FROM vf")
 def field_status(spark, d):
     return G.verify_field(_fields(spark, d)).select("record_id", "field_name", G.classify_field(F.col("field_name")).alias("field_class"), "status", "grounding")
@@ -430,13 +442,13 @@ def field_flags(spark, d):
 
 @query(f"""WITH {_TRUST_SQL} SELECT *, CASE WHEN critical > 0 OR trust_score < 0.4 THEN 'reject' WHEN warnings > 0 OR trust_score < 0.7 THEN 'review' ELSE 'accept' END AS recommendation, critical = 0 AND trust_score >= 0.6 AS trustworthy FROM ts""")
 def trust_score(spark, d):
-    return G.trust(*_flags(spark, d))
+    return G.trust(*_all_flags(spark, d))
 
 
 @query(f"""WITH {_FLAGS_SQL}, bad AS (SELECT DISTINCT record_id, TRUE AS bad FROM fg WHERE f.s = 'critical'), rs AS (SELECT record_id, count(*) AS total, count(*) FILTER (status = 'GROUNDED') AS grounded, round(count(*) FILTER (status = 'GROUNDED') / count(*), 6) AS ratio FROM vf GROUP BY 1)
   SELECT record_id, total, grounded, ratio, CASE WHEN bad THEN 'unverified' WHEN grounded = total THEN 'grounded' WHEN ratio >= 0.5 THEN 'partial' ELSE 'unverified' END AS record_status FROM rs LEFT JOIN bad USING (record_id)""")
 def record_status(spark, d):
-    return G.record_status(*_flags(spark, d))
+    return G.record_status(*_all_flags(spark, d))
 
 
 @query()

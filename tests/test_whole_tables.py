@@ -116,3 +116,27 @@ def test_evidence_with_a_slip_is_grounded(spark):
         "industry": ("GROUNDED", pytest.approx(like["industry"])), "fundingTotal": ("GROUNDED", 100.0), "foundedDate": ("UNVERIFIED", pytest.approx(like["foundedDate"])),
         "employeeCount": ("UNVERIFIED", pytest.approx(like["employeeCount"])), "founders": ("UNVERIFIED", pytest.approx(like["founders"])), "website": ("UNVERIFIED", 0.0),
     }
+
+
+def test_record_checks_reach_trust_and_status(spark):
+    rows = [
+        (1, "foundedDate", "2015-03-01", "founded in 2015", 0.91), (1, "description", "Founded in 2020, re-founded 2021, founded in 2015", "d", 0.92), (1, "fundingTotal", "$1M", "raised $1M", 0.93),
+        (2, "fundingTotal", "$1M seed", "raised $1M", 0.91), (2, "description", "It raised $10B and $1M", "d", 0.92), (2, "foundedDate", None, "", 0.93),
+        *[(3, f, "v", "the very same evidence", 0.9) for f in ("foundedDate", "fundingTotal", "x", "y")],
+        (4, "foundedDate", "2015", "a", 0.1), (4, "fundingTotal", "$2 m", "b", 0.2), (4, "description", "founded 2015 with $2 M", "c", 0.3),
+    ]
+    d = spark.createDataFrame(rows, "record_id long, field_name string, value string, evidence string, confidence double").selectExpr("*", "'GROUNDED' AS status", "100.0D AS grounding")
+    flags = G.record_flags(d, ["foundedDate", "fundingTotal"])
+    got = sorted((r.record_id, r.check_type, r.severity) for r in flags.collect())
+    assert got == [(1, "contradiction", "critical")] * 2 + [(2, "completeness", "warning"), (2, "contradiction", "warning"), (3, "duplicate_evidence", "warning"), (3, "uniformity", "warning")]
+    trust = {r.record_id: (r.trust_score, r.recommendation) for r in G.trust(d, flags).collect()}
+    assert {k: (float(a), b) for k, (a, b) in trust.items()} == {1: (0.5, "reject"), 2: (0.8, "review"), 3: (0.8, "review"), 4: (1.0, "accept")}
+    assert {r.record_id: r.record_status for r in G.record_status(d, flags).collect()} == {1: "unverified", 2: "grounded", 3: "grounded", 4: "grounded"}
+
+
+def test_trust_query_reads_record_checks(spark, tables):
+    text = "The company was founded in 2015 and grew"
+    d = tables("documents", [(1, "STARTUP", text)], "doc_id long, record_type string, text string")
+    (t,) = Q.trust_score(spark, d).collect()
+    assert (t.critical, t.recommendation) == (1, "reject")  # two of three required fields are missing
+    assert Q.record_status(spark, d).first().record_status == "unverified"
