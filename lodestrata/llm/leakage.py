@@ -20,8 +20,13 @@ BLOCK_CHARS = 16 << 20
 _WORD = re.compile(r"[^\W_]+")
 
 
+def fold(text: str) -> str:
+    """Lower case of the same length, so positions hold: U+0130 is the one character whose lower case is longer."""
+    return text.replace("\u0130", "i").lower()
+
+
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return _WORD.findall(fold(text))
 
 
 class PassageIndex:
@@ -99,8 +104,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, share: float = 0.5, n: int = N
 def remove_leaks(docs: DataFrame, items: DataFrame, n: int = N, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage", mark: str = " ") -> DataFrame:
     """``doc_id, text, removed``: every document, with each run of ``n`` or more words of any passage replaced by ``mark``.
 
-    ``removed`` counts the characters cut. Documents without such runs come back unchanged; a null text stays null. The
-    held-out set is scanned in blocks one after the other, so spans of all blocks go.
+    ``removed`` counts the characters cut. Runs that overlap are cut as one. Documents without such
+    runs come back unchanged; a null text stays null; repeated documents give repeated rows. The held-out set is scanned in
+    blocks one after the other, so spans of all blocks go.
     """
     d = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.lit(0).cast("long").alias("removed"))
     for block in _blocks(items, item_id, passage):
@@ -115,7 +121,7 @@ def remove_leaks(docs: DataFrame, items: DataFrame, n: int = N, doc_id: str = "d
                     hits = index.hits(words(t)) if t else []
                     if not hits:
                         continue
-                    at = [m.span() for m in _WORD.finditer(t.lower())] if len(t.lower()) == len(t) else [m.span() for m in _WORD.finditer(t)]
+                    at = [m.span() for m in _WORD.finditer(fold(t))]
                     parts, last = [], 0
                     for s, _ in hits:
                         a, z = at[s][0], at[s + n - 1][1]

@@ -111,6 +111,65 @@ def test_currency(spark):
     assert elect_current(spark.createDataFrame([], SCHEMA), reg).count() == 0
 
 
+def test_currency_over_absent_values(spark):
+    """a < b, b < c, c < d are learned apart; a group of a and d knows nothing of b and c, yet d is later."""
+    rows, n = [], 0
+    for k, pair in enumerate(("ab", "bc", "cd", "pq", "qr", "rp")):
+        for e in range(2):
+            for j, v in enumerate(pair):
+                rows.append((n := n + 1, f"{pair}{e}", "round", v, 0.5, "poor", T(1 + j), ""))
+    for e, (old, new) in {"far": "ad", "near": "ac", "ring": "pr"}.items():
+        rows += [(900 + len(rows), e, "round", new, 0.1, "poor", None, ""), (900 + len(rows) + 1, e, "round", old, 0.9, "poor", T(28), "")]
+    reg = spark.createDataFrame([("poor", 0.2)], "source_name string, credibility double")
+    got = {r.entity_id: (r.value, r.inferred) for r in elect_current(spark.createDataFrame(rows, SCHEMA), reg).collect()}
+    assert got == {"far": ("d", True), "near": ("c", True), "ring": ("p", False)}
+
+
+@pytest.mark.parametrize("seed", [2, 3])
+def test_currency_random(spark, seed):
+    """Against brute force: changes counted group by group, reachability by search."""
+    rng = random.Random(seed)
+    rows = [(i, f"e{rng.randrange(40)}", f"f{rng.randrange(2)}", rng.choice("abcdefg"), rng.random(), "s", None if rng.random() < 0.2 else dt.datetime(2024, rng.randrange(1, 13), rng.randrange(1, 5), rng.randrange(4), tzinfo=dt.UTC), "") for i in range(600)]
+    net, groups = {}, {}
+    for r in rows:
+        groups.setdefault((r[1], r[2]), []).append(r)
+    for (_, f), g in groups.items():
+        at = {}
+        for r in g:
+            if r[6]:
+                at.setdefault(r[6], set()).add(r[3])
+        line = [next(iter(v)) for _, v in sorted(at.items()) if len(v) == 1]
+        for x, y in zip(line, line[1:], strict=False):
+            if x != y:
+                k = (f, min(x, y), max(x, y))
+                net[k] = net.get(k, 0) + (1 if x < y else -1)
+    step = {}
+    for (f, x, y), n in net.items():
+        if abs(n) >= 2:
+            step.setdefault((f, x if n > 0 else y), set()).add(y if n > 0 else x)
+
+    def leads(f, x):
+        seen, todo = set(), [x]
+        while todo:
+            for y in step.get((f, todo.pop()), ()):
+                if y not in seen:
+                    seen.add(y)
+                    todo.append(y)
+        return seen
+
+    want = {}
+    for (e, f), g in groups.items():
+        if len(g) < 2 or all(r[6] for r in g):
+            continue
+        have = {r[3] for r in g}
+        old = {x for x in have if any(y != x and y in leads(f, x) and x not in leads(f, y) for y in have)}
+        best = min(g, key=lambda r: (r[3] in old, r[6] is None, -(r[6].timestamp() if r[6] else 0), -r[4], r[0]))
+        want[e, f] = (best[0], bool(old))
+    reg = spark.createDataFrame([("s", 0.5)], "source_name string, credibility double")
+    got = {(r.entity_id, r.field_name): (r.assertion_id, r.inferred) for r in elect_current(spark.createDataFrame(rows, SCHEMA), reg).collect()}
+    assert got == want and any(v[1] for v in want.values())
+
+
 @pytest.mark.parametrize("seed", [1])
 def test_elect_random(spark, seed):
     rng = random.Random(seed)

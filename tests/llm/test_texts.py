@@ -91,6 +91,41 @@ def test_leaks_against_brute_force(spark):
     assert all(t == same[d] for d, t, _ in docs if d in same) and clean.count() == len(docs)
 
 
+def test_leaks_are_cut_where_they_stand(spark):
+    """Also where lower case is longer than the text (U+0130), against removal word by word."""
+    ten = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(1, ten), (2, "İzmir b c d e f g h")], "item_id long, passage string")
+    docs = [
+        (1, f"İstanbul says {ten} end"), (2, f"İİİ {ten}"), (3, f"{ten.upper()}, İ"), (4, "x izmir B c, d e-f g\nh İ."), (5, "İZMİR b c d e f g"), (6, None), (7, ""), (8, f"a {ten} b {ten} c"),
+        (9, "zero two three four five six seven eight nine tail"), (10, " ".join(["ß ẞ Σς"] * 3) + " " + ten),
+    ]
+    got = {r.doc_id: (r.text, r.removed) for r in remove_leaks(spark.createDataFrame(docs, "doc_id long, text string"), items, mark="#").collect()}
+    n = len(ten)
+    assert got[1] == ("İstanbul says # end", n) and got[2] == ("İİİ #", n) and got[3] == ("#, İ", n)
+    assert got[4] == ("x # İ.", len("izmir B c, d e-f g\nh")) and got[5] == (docs[4][1], 0)
+    assert got[6] == (None, 0) and got[7] == ("", 0) and got[8] == ("a # b # c", 2 * n)
+    assert got[9] == ("zero # tail", len("two three four five six seven eight nine")) and got[10][1] == n
+
+
+def test_leaks_cut_against_brute_force(spark):
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(3)] + ["İ", "Ünï"]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.choice([3, 4, 9])))) for i in range(6)]
+    docs = [(k, "".join(rng.choice(vocab) + rng.choice([" ", ", ", "\n"]) for _ in range(rng.randrange(60)))) for k in range(60)]
+    grams = {tuple(w[j : j + 4]) for _, p in items for w in [words(p)] for j in range(len(w) - 3)}
+    want = {}
+    for d, t in docs:
+        spans, ws = [m.span() for m in re.finditer(r"[^\W_]+", t)], words(t)
+        gone = set()
+        for j in range(len(ws) - 3):
+            if tuple(ws[j : j + 4]) in grams:
+                gone |= set(range(spans[j][0], spans[j + 3][1]))
+        out = "".join("" if i in gone else c for i, c in enumerate(t))
+        want[d] = (out, len(gone))
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, passage string")
+    assert {r.doc_id: (r.text, r.removed) for r in remove_leaks(df, it, n=4, mark="").collect()} == want and any(v[1] for v in want.values())
+
+
 @pytest.mark.parametrize("capacity", [1, 7, 64, 512])
 def test_plan_uses_every_item_once(capacity):
     r = np.random.default_rng(capacity)
