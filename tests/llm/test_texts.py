@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from lodestrata.llm import boilerplate
 from lodestrata.llm.boilerplate import common, main_content
 from lodestrata.llm.leakage import find_leaks, remove_leaks, words
 from lodestrata.llm.packing import load_tokenizer, pack, plan, token_counts
@@ -26,8 +27,8 @@ def test_common_subsequence():
     for _ in range(500):
         a, b = ([rng.randrange(5) for _ in range(rng.randrange(12))] for _ in range(2))
         c = common(a, b)
-        it = iter(b)
-        assert len(c) == _lcs(a, b) and c == sorted(c) and all(any(a[i] == y for y in it) for i in c)
+        assert len(c) == _lcs(a, b) and all(a[i] == b[j] for i, j in c)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(c, c[1:], strict=False))
 
 
 NAV = ["Home", "Jobs", "Search", "Subscribe"]
@@ -62,6 +63,43 @@ def test_main_content(spark):
     assert main_content(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [3, 16])
+def test_neighbours_lie_anywhere(spark, monkeypatch, block):
+    """Votes are those of brute force, whatever the blocks and partitions, one path with most of the pages included."""
+    monkeypatch.setattr(boilerplate, "BLOCK", block)
+    rng = random.Random(4)
+    rows = []
+    for p in range(120):
+        path = "hot" if p % 3 == 0 else f"{rng.randrange(40):02d}"
+        lines = [rng.choice(["Home", "Jobs", "Search", f"text {rng.randrange(60)} of {p}"]) for _ in range(rng.randrange(9))]
+        rows.append((p, f"https://{'a' if p % 2 else 'b'}.test/{path}", "\n".join(lines)))
+    rows += rows[:5]
+    first = {}
+    for p, u, t in sorted(rows):
+        first.setdefault(u, (p, t))
+    order = sorted(first)
+    key = lambda t: [boilerplate.norm(x) for x in t.split("\n") if x.strip()]
+    want = []
+    for p, u, t in rows:
+        k, mine = order.index(u), key(t)
+        votes = [0] * len(mine)
+        for j in range(max(0, k - 3), min(len(order), k + 4)):
+            if j != k and order[j].split("/")[2] == u.split("/")[2]:
+                theirs = key(first[order[j]][1])
+                for a, b in common(mine, theirs) if k < j else common(theirs, mine):
+                    votes[a if k < j else b] += 1
+        want.append((p, tuple(votes)))
+    df = spark.createDataFrame(rows, "page_id long, url string, payload string")
+    for parts in (1, 8, 64):
+        with_parts = df.repartition(parts)
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            got = [(r.page_id, tuple(r.votes)) for r in boilerplate.aligned(with_parts).collect()]
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert sorted(got) == sorted(want)
+
+
 def test_leaks_against_brute_force(spark):
     rng = random.Random(3)
     vocab = [f"w{i}" for i in range(60)]
