@@ -70,6 +70,9 @@ def _alternation() -> re.Pattern:
 
 
 _RE = _alternation()
+#: Of each format, the names of its parts and their groups.
+_PARTS = [[(name.split("_", 1)[1], at) for name, at in _RE.groupindex.items() if name.startswith(f"f{i}_")] for i in range(len(_NAMES))]
+_BLANKS = re.compile(r"\s{3,}")
 
 
 def _civil_days(y: np.ndarray, m: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -120,14 +123,15 @@ def parse_batch(raw: list, zones: list, orders: list, fetched: list) -> list[int
     local, dated, direct = np.zeros(n, bool), np.zeros(n, bool), I()
     bad = np.zeros(n, bool)
     for i, t in enumerate(raw):
-        if t is None or len(t) > 200 and len(t.strip()) > 200:  # no format is that long
+        if t is None:
             continue
-        m = _RE.match(t)
+        # formats tell no more than one blank from several; long runs would be tried at every length
+        m = _RE.match(t if len(t) < 100 else _BLANKS.sub("  ", t))
         if not m:
             continue
         k = next(j for j in range(len(_NAMES)) if m[f"f{j}"] is not None) if m.lastgroup is None or "_" in m.lastgroup else int(m.lastgroup[1:])
-        name, pre = _NAMES[k], f"f{k}_"
-        g = {a[len(pre) :]: b for a, b in m.groupdict().items() if b is not None and a.startswith(pre)}
+        name = _NAMES[k]
+        g = {a: b for a, at in _PARTS[k] if (b := m[at]) is not None}
         if name.startswith("epoch"):
             kind[i] = 2
             direct[i] = (
@@ -195,8 +199,8 @@ def to_instants(df: DataFrame, keys: list[str], text: str, zone: str | None = No
     ``fetched_at``: column that relative times count back from (a day is 24 h).
 
     Defined cases: no row for null, blank, other text, impossible calendar values, a needed zone/order/fetch time that is null
-    or unknown, and wall times that occur twice or never; a date alone is its first moment in the zone; texts of over 200
-    characters state no instant; repeated rows give repeated rows; an empty table gives an empty table; other columns are ignored.
+    or unknown, and wall times that occur twice or never; a date alone is its first moment in the zone; texts of any length are
+    read whole; repeated rows give repeated rows; an empty table gives an empty table; other columns are ignored.
     """
     if out.lower() in {k.lower() for k in keys}:
         raise ValueError("out needs a name that no key has")

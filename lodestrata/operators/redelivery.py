@@ -1,10 +1,9 @@
 """Messages delivered more than once: keep one delivery of each identifier.
 
-Deliveries are laid into time buckets of about equal size. Each bucket has a Bloom filter of its identifiers (and a second one
-of those that may occur twice in it), built by the tasks that scan and merged by OR. A delivery whose identifier hits no
-filter but its own bucket's, and that one once, is definitely new and goes no further. Only possible repeats are stored, by
-bucket, and verified exactly against each other. The filters' total size is bounded by ``filter_bytes``: with more
-identifiers they pass more deliveries on to the exact step, and the result stays the same.
+Deliveries are laid into time buckets. Identifiers' hashes are partitioned by hash, so that all copies of one meet in a task;
+there each bucket gets a Bloom filter of its identifiers, sized by their number, and a hash that hits no filter but its own
+bucket's, and that one once, is definitely new and goes no further. Only possible repeats are stored and verified exactly.
+Nothing is broadcast and the driver sees one row of counts.
 """
 
 from __future__ import annotations
@@ -14,11 +13,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import path_exists, stage
 
 BITS_PER_ID = 32
-MAX_BUCKETS = 32
-_SEG = 4096  # filter words a segment
+BUCKETS = 32
+#: Hashes that a task holds (before copies within its input batches are dropped).
+TASK_IDS = 1_000_000
 
 
 def message_key(c: Column) -> Column:
@@ -37,91 +37,59 @@ def _bits(h: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     return ((u >> np.uint64(24)) & np.uint64(words - 1)).astype(np.int64), m
 
 
-def _bucket(us: pd.Series, edges: np.ndarray) -> np.ndarray:
-    """Bucket of each time; without a time: bucket 0."""
-    v = us.to_numpy(dtype="float64", na_value=-np.inf)
-    return np.searchsorted(edges, v, side="right").astype(np.int64)
+def _words(n: int) -> int:
+    return 1 << max(4, int(np.ceil(np.log2(max(1, n) * BITS_PER_ID / 64))))
 
 
-class _Filter:
-    def __init__(self, words: int):
-        self.once, self.twice, self.words = np.zeros(words, np.uint64), np.zeros(words, np.uint64), words
+def screen(h: np.ndarray, bucket: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The hashes that may occur twice, of distinct (hash, bucket) with their number of deliveries: several deliveries in one
+    bucket, or a hit in another bucket's filter."""
+    maybe = n > 1
+    filters = []
+    for x in np.unique(bucket):
+        mine = np.flatnonzero(bucket == x)
+        words = _words(len(mine))
+        w, m = _bits(h[mine], words)
+        f = np.zeros(words, np.uint64)
+        np.bitwise_or.at(f, w, m)
+        filters.append((x, f))
+    for x, f in filters:
+        w, m = _bits(h, len(f))
+        maybe |= ((f[w] & m) == m) & (bucket != x)
+    return np.unique(h[maybe])
 
-    def add(self, h: np.ndarray) -> None:
-        u, n = np.unique(h, return_counts=True)
-        w, m = _bits(u, self.words)
-        seen = ((self.once[w] & m) == m) | (n > 1)
-        np.bitwise_or.at(self.twice, w[seen], m[seen])
-        np.bitwise_or.at(self.once, w, m)
 
+def possible_repeats(keyed: DataFrame, parts: int) -> DataFrame:
+    """``h``: hashes of ``keyed`` (``h``, ``tb``) that may occur twice, as the filters of the time buckets tell."""
 
-def _merge(into: dict, key: tuple, once: np.ndarray, twice: np.ndarray) -> None:
-    if key in into:
-        a, b = into[key]
-        b |= twice | (a & once)
-        a |= once
-    else:
-        into[key] = (once.copy(), twice.copy())
-
-
-def build_filters(keyed: DataFrame, edges: np.ndarray, words: int) -> DataFrame:
-    """``tb, seg, once, twice``: the filters of ``keyed`` (``h``, ``us``), by time bucket and segment of words."""
-
-    def scan(batches):
-        own: dict[int, _Filter] = {}
+    def count(batches):
+        # copies within a batch of input become one row, so a hot identifier does not fill its partition
         for b in batches:
-            t, h = _bucket(b["us"], edges), b["h"].to_numpy(np.int64)
-            for x in np.unique(t):
-                own.setdefault(int(x), _Filter(words)).add(h[t == x])
-        for x, f in own.items():
-            for s in range(0, words, _SEG):
-                o = f.once[s : s + _SEG]
-                if o.any():
-                    yield pd.DataFrame({"tb": [x], "seg": [s // _SEG], "once": [o.tobytes()], "twice": [f.twice[s : s + _SEG].tobytes()]})
-
-    def fold(batches):
-        own: dict[tuple, tuple] = {}
-        for b in batches:
-            for t, s, o, w in zip(b["tb"], b["seg"], b["once"], b["twice"], strict=True):
-                _merge(own, (t, s), np.frombuffer(o, np.uint64), np.frombuffer(w, np.uint64))
-        for (t, s), (o, w) in own.items():
-            yield pd.DataFrame({"tb": [t], "seg": [s], "once": [o.tobytes()], "twice": [w.tobytes()]})
+            u = b.groupby(["h", "tb"], sort=False).size().reset_index(name="n")
+            yield u.astype({"n": "int64"})
 
-    schema = "tb long, seg long, once binary, twice binary"
-    return keyed.select("h", "us").mapInPandas(scan, schema).repartition("tb", "seg").mapInPandas(fold, schema)
+    def probe(batches):
+        got = list(batches)
+        if not got:
+            return
+        b = pd.concat(got).groupby(["h", "tb"], sort=False)["n"].sum().reset_index()
+        yield pd.DataFrame({"h": screen(b["h"].to_numpy(np.int64), b["tb"].to_numpy(np.int64), b["n"].to_numpy(np.int64))})
 
+    return keyed.select("h", "tb").mapInPandas(count, "h long, tb long, n long").repartition(parts, "h").mapInPandas(probe, "h long")
 
-def possible_repeats(keyed: DataFrame, filters: DataFrame, edges: np.ndarray, words: int) -> DataFrame:
-    """Rows of ``keyed`` whose identifier may occur twice: its own bucket's second filter, or another bucket's first one, has it.
 
-    The filters are broadcast; their size is at most (buckets + 1) x words x 16 bytes, which the caller bounds.
-    """
-    nb = len(edges) + 1
-    once, twice = np.zeros((words, nb), np.uint64), np.zeros((words, nb), np.uint64)
-    for r in filters.toLocalIterator():
-        s = r.seg * _SEG
-        o = np.frombuffer(r.once, np.uint64)
-        once[s : s + len(o), r.tb] = o
-        twice[s : s + len(o), r.tb] = np.frombuffer(r.twice, np.uint64)
-    shared = keyed.sparkSession.sparkContext.broadcast((once, twice))
-    cols = keyed.columns
+def _keyed(df: DataFrame, row_id: str, message_id: str, attempt: str, seen_at: str) -> DataFrame:
+    return df.select(
+        F.col(f"`{row_id}`").alias("rid"), message_key(F.col(f"`{message_id}`")).alias("uid"), F.col(f"`{attempt}`").cast("long").alias("att"), F.unix_micros(F.col(f"`{seen_at}`").cast("timestamp")).alias("us")
+    ).where("uid IS NOT NULL AND rid IS NOT NULL").withColumn("h", F.xxhash64("uid"))
 
-    def probe(batches):
-        o1, o2 = shared.value
-        for b in batches:
-            t, h = _bucket(b["us"], edges), b["h"].to_numpy(np.int64)
-            w, m = _bits(h, words)
-            hit = (o1[w] & m[:, None]) == m[:, None]
-            row = np.arange(len(h))
-            hit[row, t] = (o2[w, t] & m) == m
-            yield b.loc[hit.any(axis=1), cols]
 
-    return keyed.mapInPandas(probe, keyed.schema)
+def _order():
+    """The delivery that stays: lowest attempt, null last, then smallest row."""
+    return F.struct(F.col("att").isNull().alias("last"), "att", "rid")
 
 
-def surplus_deliveries(
-    df: DataFrame, row_id: str = "entry_id", message_id: str = "message_id", attempt: str = "attempt", seen_at: str = "received_at", filter_bytes: int = 32 << 20
-) -> DataFrame:
+def surplus_deliveries(df: DataFrame, row_id: str = "entry_id", message_id: str = "message_id", attempt: str = "attempt", seen_at: str = "received_at") -> DataFrame:
     """One row ``row_id`` per surplus delivery: all but the one with the lowest ``attempt`` (null last), then the smallest ``row_id``.
 
     Defined cases: a null or blank identifier is never a copy; a null ``seen_at`` falls into the first bucket; rows repeated
@@ -129,64 +97,57 @@ def surplus_deliveries(
     an empty table; identifiers of any length are compared whole; other columns are ignored. A single identifier holding
     most rows is pre-aggregated to one candidate a task, and the surplus is found by an anti join on the unique ``row_id``.
     """
-    spark = df.sparkSession
-    keyed = df.select(
-        F.col(f"`{row_id}`").alias("rid"), message_key(F.col(f"`{message_id}`")).alias("uid"), F.col(f"`{attempt}`").cast("long").alias("att"),
-        F.unix_micros(F.col(f"`{seen_at}`").cast("timestamp")).alias("us"),
-    ).where("uid IS NOT NULL AND rid IS NOT NULL").withColumn("h", F.xxhash64("uid"))
-    n, cuts = df.select(F.count(F.lit(1)), F.percentile_approx(F.unix_micros(F.col(f"`{seen_at}`").cast("timestamp")), [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)], 200)).first()
-    edges = np.unique(np.array(cuts or [], dtype="float64"))
-    nb = len(edges) + 1
-    most = max(64, filter_bytes // 16 // nb)
-    words = 1 << int(np.clip(np.ceil(np.log2(max(1, n) * BITS_PER_ID / 64 / nb)), 6, np.floor(np.log2(most))))
-    candidates = stage(possible_repeats(keyed, build_filters(keyed, edges, words), edges, words).select("rid", "uid", "att"), "possible-repeats")
-    keep = candidates.groupBy("uid").agg(F.min(F.struct(F.col("att").isNull().alias("last"), "att", "rid")).alias("k")).select(F.col("k.rid").alias("rid"))
+    keyed = _keyed(df, row_id, message_id, attempt, seen_at)
+    at = F.unix_micros(F.col(f"`{seen_at}`").cast("timestamp"))
+    n, lo, hi = df.select(F.count(F.lit(1)), F.min(at), F.max(at)).first()
+    width = max(1, ((hi or 0) - (lo or 0)) // BUCKETS + 1)
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK_IDS))
+    keyed = keyed.withColumn("tb", F.coalesce(F.floor((F.col("us") - F.lit(lo or 0)) / F.lit(width)), F.lit(0)).cast("long"))
+    candidates = stage(keyed.join(possible_repeats(keyed, parts), "h", "left_semi").select("rid", "uid", "att"), "possible-repeats")
+    keep = candidates.groupBy("uid").agg(F.min(_order()).alias("k")).select(F.col("k.rid").alias("rid"))
     return candidates.select("rid").distinct().join(keep, "rid", "left_anti").select(F.col("rid").alias(row_id))
 
 
 class DeliveryLedger:
     """Accepted identifiers on shared storage, for batches that arrive one after another.
 
-    ``ids/tb=<day>/`` holds the accepted identifiers by time bucket (one UTC day of ``seen_at``), ``filters/tb=<day>/`` each
-    bucket's Bloom filter segments. A batch's identifiers are screened against the filters; possible repeats are verified only
-    against the buckets whose filter has them. The first accepted delivery of an identifier stays.
+    ``ids/batch=<id>/tb=<bucket>/`` holds the accepted identifiers by batch and time bucket (``DAYS`` days of ``seen_at``),
+    ``filters/batch=<id>/`` each bucket's Bloom filter words, sized by the bucket's identifiers. A batch's identifiers are
+    screened against the filters of all other batches; possible repeats are verified only against the buckets whose filter has
+    them. The first accepted delivery of an identifier stays.
+
+    A batch that is given again under its id replaces what it wrote and gives the same answer. Filters are written before
+    identifiers: a failure in between leaves filters that let more through to the exact step, never an identifier unseen.
     """
 
-    WORDS = 1 << 14
+    DAYS = 32
 
     def __init__(self, spark, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _read(self, part: str, schema: str) -> DataFrame | None:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
-        if not p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p):
-            return None
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
+    def _read(self, part: str, schema: str, batch_id: int) -> DataFrame | None:
+        path = f"{self.path}/{part}"
+        return self.spark.read.schema(schema).parquet(path).where(F.col("batch") != batch_id) if path_exists(self.spark, path) else None
 
-    def accept(self, batch: DataFrame, row_id: str = "entry_id", message_id: str = "message_id", attempt: str = "attempt", seen_at: str = "received_at") -> DataFrame:
+    def accept(self, batch: DataFrame, batch_id: int, row_id: str = "entry_id", message_id: str = "message_id", attempt: str = "attempt", seen_at: str = "received_at") -> DataFrame:
         """Adds the batch's new identifiers and returns the batch's surplus ``row_id``s."""
-        rows = batch.select(
-            F.col(f"`{row_id}`").alias("rid"), message_key(F.col(f"`{message_id}`")).alias("uid"), F.col(f"`{attempt}`").cast("long").alias("att"),
-            F.coalesce(F.floor(F.unix_micros(F.col(f"`{seen_at}`").cast("timestamp")) / F.lit(86_400_000_000)), F.lit(-1)).cast("long").alias("tb"),
-        ).where("uid IS NOT NULL AND rid IS NOT NULL").withColumn("h", F.xxhash64("uid"))
-        rows = stage(rows, "ledger-batch")
-        words = self.WORDS
-        word = ((F.shiftrightunsigned("h", 24)).bitwiseAND(F.lit(words - 1))).cast("long")
+        bucket = F.coalesce(F.floor(F.col("us") / F.lit(self.DAYS * 86_400_000_000)), F.lit(-1)).cast("long")
+        rows = stage(_keyed(batch, row_id, message_id, attempt, seen_at).withColumn("tb", bucket), "ledger-batch")
         mask = F.lit(0).cast("long")
         for i in range(4):
             mask = mask.bitwiseOR(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {6 * i}) & 63 AS int))"))
-        rows = rows.withColumn("w", word).withColumn("m", mask)
-        filters = self._read("filters", "w long, m long, tb long")
-        firsts = rows.groupBy("uid").agg(F.min(F.struct(F.col("att").isNull().alias("last"), "att", "rid", "tb", "h", "w", "m")).alias("k")).select("uid", "k.*")
+        word = F.shiftrightunsigned("h", 24).bitwiseAND(F.col("words") - 1)
+        firsts = rows.groupBy("uid").agg(F.min(F.struct(F.col("att").isNull().alias("last"), "att", "rid", "tb", "h")).alias("k")).select("uid", "k.rid", "k.tb", "k.h").withColumn("m", mask)
+        filters = self._read("filters", "words long, w long, m long, tb long, batch long", batch_id)
         if filters is not None:
-            # a bucket's filter word that has all bits of the identifier: only that bucket's stored identifiers are read
-            hits = firsts.select("uid", "w", "m").join(filters.groupBy("w", "tb").agg(F.bit_or("m").alias("fm")), "w").where(F.col("fm").bitwiseAND(F.col("m")) == F.col("m"))
-            buckets = sorted(r.tb for r in hits.select("tb").distinct().collect())  # days of history
-            stored = self._read("ids", "uid string, tb long").where(F.col("tb").isin(buckets))
-            known = hits.select("uid", "tb").join(stored, ["uid", "tb"], "left_semi").select("uid").distinct()
+            # sizes are powers of two, so there are few; each identifier has one word in a filter of each size
+            sizes = [F.lit(r.words) for r in filters.select("words").distinct().collect()] or [F.lit(1)]
+            at = firsts.select("uid", "h", "m", F.explode(F.array(*sizes)).alias("words")).withColumn("w", word)
+            hits = at.join(filters.select("words", "w", F.col("m").alias("fm"), "tb", "batch"), ["words", "w"]).where(F.col("fm").bitwiseAND(F.col("m")) == F.col("m")).select("uid", "tb", "batch").distinct()
+            known = hits.join(self._read("ids", "uid string, batch long, tb long", batch_id), ["uid", "batch", "tb"], "left_semi").select("uid").distinct()
             firsts = firsts.join(known, "uid", "left_anti")
         firsts = stage(firsts, "ledger-new")
-        firsts.select("uid", "tb").write.mode("append").partitionBy("tb").parquet(f"{self.path}/ids")
-        firsts.groupBy("tb", "w").agg(F.bit_or("m").alias("m")).write.mode("append").partitionBy("tb").parquet(f"{self.path}/filters")
+        size = firsts.groupBy("tb").agg(F.count(F.lit(1)).alias("n")).select("tb", F.expr(f"shiftleft(1L, greatest(4, cast(ceil(log2(n * {BITS_PER_ID} / 64)) AS int)))").alias("words"))
+        firsts.join(size, "tb").groupBy("tb", "words", word.alias("w")).agg(F.bit_or("m").alias("m")).write.mode("overwrite").parquet(f"{self.path}/filters/batch={batch_id}")
+        firsts.select("uid", "tb").write.mode("overwrite").partitionBy("tb").parquet(f"{self.path}/ids/batch={batch_id}")
         return rows.select("rid").distinct().join(firsts.select("rid"), "rid", "left_anti").select(F.col("rid").alias(row_id))
