@@ -38,6 +38,35 @@ def date_score(claimed: Column, text: Column) -> Column:
     return F.when(F.size(near) > 0, (1 - F.array_min(near)).cast("double"))
 
 
+# Seconds of the units of relative dates, in order of precedence; a month has 30 days, a year 365.
+AGO = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800, "month": 2592000, "year": 31536000}
+
+
+def relative_date(c: Column, now: Column) -> Column:
+    """Timestamp that "3 weeks ago", "yesterday", "today" or "just now" means at ``now``; null for other texts. The first unit in order wins."""
+    back = F.lit(None).cast("long")
+    for unit, seconds in reversed(AGO.items()):
+        n = F.regexp_extract(c, rf"(?i)(\d+)\s*{unit}s?\s*ago", 1).try_cast("long")
+        back = F.when(n.isNotNull(), n * seconds).otherwise(back)
+    word = F.when(c.rlike(r"(?i)\byesterday\b"), 86400).when(c.rlike(r"(?i)\btoday\b|\bjust\s*now\b"), 0).cast("long")
+    return F.timestamp_micros(F.unix_micros(now.cast("timestamp")) - F.coalesce(back, word) * 1_000_000)
+
+
+#: Formats of whole texts that are read strictly, after ISO ones.
+STRICT = ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "d MMM yyyy HH:mm:ss z", "MMMM d, yyyy", "d MMMM yyyy", "MMM d, yyyy", "d MMM yyyy")
+
+
+def layered_date(c: Column, now: Column) -> Column:
+    """struct<value, confidence, layer>: strictly by format, else heuristically by a relative phrase, else by a date somewhere in
+    the text; null if nothing is stated. Texts without zone are UTC."""
+    x = F.trim(c)
+    bare = F.regexp_replace(x, r"^[A-Za-z]{3,9},\s+", "")  # a weekday says nothing more
+    strict = F.coalesce(*[F.try_to_timestamp(bare, F.lit(f)) for f in STRICT])
+    told, loose = relative_date(x, now), first_date(x).cast("timestamp")
+    one = lambda v, sure, layer: F.struct(v.alias("value"), F.lit(sure).alias("confidence"), F.lit(layer).alias("layer"))
+    return F.when(strict.isNotNull(), one(strict, "strict", "format")).when(told.isNotNull(), one(told, "heuristic", "relative")).when(loose.isNotNull(), one(loose, "heuristic", "text"))
+
+
 def within_hours(ts: Column, now: str, hours: float) -> Column:
     """Not older than so many hours at ``now``."""
     return F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(ts.cast("timestamp")) <= hours * 3600e6

@@ -9,6 +9,52 @@ from pyspark.sql import functions as F
 REQUIRED = {"STARTUP": ["entityName"], "PRODUCT": ["entityName"], "PAPER": ["title"], "JOB": ["title", "company"], "NEWS_SIGNAL": ["title"]}
 EDGES = {"FOUNDED_BY": ("STARTUP", ("STARTUP", "PRODUCT")), "BUILDS_PRODUCT": ("STARTUP", ("PRODUCT",)), "PUBLISHED_PAPER": ("STARTUP", ("PAPER",)), "CITES": ("PAPER", ("PAPER",)), "WORKS_AT": ("JOB", ("STARTUP",))}
 
+# Tab of each record type, and its fields with their headers in order of columns, after the common ones.
+TABS = {"STARTUP": "Startups", "PRODUCT": "Products", "PAPER": "Papers", "JOB": "Jobs", "NEWS_SIGNAL": "News"}
+COMMON = ("Canonical ID", "Entity Name", "Record Type", "Verification Status", "Source URL")
+COLUMNS = {
+    "STARTUP": {
+        "description": "Description", "foundedDate": "Founded Date", "founders": "Founders", "headquarters": "Headquarters", "industry": "Industry", "fundingTotal": "Total Funding",
+        "lastFundingRound": "Last Funding Round", "employeeCount": "Employee Count", "website": "Website", "investors": "Investors", "products": "Products", "techStack": "Tech Stack",
+    },
+    "PRODUCT": {
+        "description": "Description", "company": "Company", "category": "Category", "launchDate": "Launch Date", "pricing": "Pricing", "pricingModel": "Pricing Model", "features": "Features",
+        "platforms": "Platforms", "website": "Website", "githubUrl": "GitHub URL",
+    },
+    "PAPER": {
+        "title": "Title", "abstract": "Abstract", "authors": "Authors", "publishedDate": "Published Date", "arxivId": "ArXiv ID", "categories": "Categories", "githubUrl": "GitHub URL",
+        "githubStars": "GitHub Stars", "citations": "Citations", "affiliations": "Affiliations",
+    },
+    "JOB": {
+        "title": "Title", "company": "Company", "location": "Location", "remotePolicy": "Remote Policy", "employmentType": "Employment Type", "salaryMin": "Salary Min", "salaryMax": "Salary Max",
+        "skills": "Skills", "postedDate": "Posted Date",
+    },
+    "NEWS_SIGNAL": {
+        "title": "Title", "summary": "Summary", "publishedDate": "Published Date", "author": "Author", "publisher": "Publisher", "mentionedEntities": "Mentioned Entities", "keyTopics": "Key Topics",
+    },
+}
+
+
+def tab_rows(df: DataFrame, record_type: str, content: dict[str, Column], keys: tuple[str, ...] = ("canonical_id", "entity_name", "verification_status", "source_url")) -> DataFrame:
+    """One row a record with the headers of its tab: the common columns, then every field, empty where ``content`` has none.
+
+    A field is a scalar or an array column; arrays become their non-blank values joined by "; ".
+    """
+    cid, name, status, url = (cell(F.col(k)) for k in keys)
+    common = [c.alias(h) for c, h in zip((cid, name, F.lit(record_type), status, url), COMMON, strict=True)]
+    typed = df.select(*content.values())
+    lists = {k for k, f in zip(content, typed.schema.fields, strict=True) if f.dataType.typeName() == "array"}
+    one = lambda k: list_cell(content[k]) if k in lists else cell(content[k]) if k in content else F.lit("")
+    return df.select(*common, *[one(k).alias(h) for k, h in COLUMNS[record_type].items()])
+
+
+def mark_batches(entities: DataFrame, key: str, run_at: str, size: int = 500) -> DataFrame:
+    """``entities`` plus batch and exported_at: what is not exported yet, flushed in batches of ``size``."""
+    from .messages import batches
+
+    d = batches(entities.where("exported_at IS NULL").drop("exported_at").withColumn("__all", F.lit(0)), "__all", [key], size).drop("__all")
+    return d.withColumn("exported_at", F.lit(run_at).cast("timestamp"))
+
 
 def export_errors(schema_valid: Column, status: Column, required: list[Column], method: Column) -> Column:
     """Array of failed gates: schema, status, required, resolution."""

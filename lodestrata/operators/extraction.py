@@ -83,6 +83,57 @@ def page_metadata(parts: DataFrame, key: str, url: str | None = None) -> DataFra
     return parts.select(key, F.coalesce(meta_value(m, META_TITLE), F.when(F.col("title") != "", F.col("title"))).alias("title"), F.substring(meta_value(m, META_DESCRIPTION), 1, 500).alias("description"), meta_value(m, META_AUTHOR).alias("author"), date.alias("date"))
 
 
+def _evidenced(name: str, value: Column, confidence: float, evidence: Column | None = None) -> Column:
+    given = F.when(F.coalesce(F.trim(value), F.lit("")) != "", value)
+    return F.when(given.isNotNull(), F.struct(F.lit(name).alias("field_name"), F.lit(None).cast("int").alias("idx"), given.alias("value"), F.coalesce(given if evidence is None else evidence, given).alias("evidence"), F.lit(confidence).alias("confidence")))
+
+
+def _listed(name: str, value: Column, separator: str, confidence: float) -> Column:
+    items = F.filter(F.transform(F.split(value, separator), lambda x: F.trim(x)), lambda x: x != "")
+    return F.transform(items, lambda x, i: F.struct(F.lit(name).alias("field_name"), i.alias("idx"), x.alias("value"), x.alias("evidence"), F.lit(confidence).alias("confidence")))
+
+
+_FIELDS = "array<struct<field_name:string,idx:int,value:string,evidence:string,confidence:double>>"
+
+
+def _long(parts: DataFrame, key: str, single: list[Column], lists: list[Column]) -> DataFrame:
+    both = F.concat(F.filter(F.array(*single), lambda x: x.isNotNull()).cast(_FIELDS), *[F.coalesce(x.cast(_FIELDS), F.array().cast(_FIELDS)) for x in lists])
+    return parts.select(key, F.explode(both).alias("f")).select(key, "f.*")
+
+
+def paper_metadata(parts: DataFrame, key: str, url: str, confidence: float = 0.85) -> DataFrame:
+    """``key, field_name, idx, value, evidence, confidence``: a paper page's fields from its meta tags, evidenced, with no model.
+
+    ``parts``: metas, title, and the page's address in ``url``. Authors and categories give one row each.
+    """
+    m = F.col("metas")
+    number = F.regexp_extract(url, r"arxiv\.org/abs/([0-9]+\.[0-9]+)", 1)
+    single = [
+        _evidenced("title", F.coalesce(meta_value(m, ["citation_title", "og:title", "title"]), F.col("title")), confidence),
+        _evidenced("abstract", F.substring(meta_value(m, ["description", "og:description"]), 1, 500), confidence),
+        _evidenced("publishedDate", meta_value(m, ["citation_date", "citation_publication_date"]), confidence),
+        _evidenced("arxivId", number, confidence, F.concat(F.lit("ArXiv ID from URL: arxiv.org/abs/"), number)),
+        _evidenced("website", F.col(url), confidence),
+    ]
+    return _long(parts, key, single, [_listed("authors", meta_value(m, ["citation_author", "author"]), "[,;]", confidence), _listed("categories", meta_value(m, ["citation_keywords"]), ",", confidence)])
+
+
+def page_fields(parts: DataFrame, key: str, url: str, confidence: float = 0.70) -> DataFrame:
+    """The fields of :func:`page_metadata` in the same long form, for pages that no model has read."""
+    d = page_metadata(parts, key, url).join(parts.select(key, F.col(url).alias("__url")), key)
+    return _long(d, key, [_evidenced(n, F.col(c), confidence) for n, c in (("title", "title"), ("description", "description"), ("author", "author"), ("publishedDate", "date"), ("website", "__url"))], [])
+
+
+def read_answer(c: Column) -> Column:
+    """A model's answer as VARIANT: a code fence is stripped; an object is itself, a list becomes ``{"items": list}``; else the
+    widest braces, else the widest brackets; else an empty object."""
+    x = F.trim(F.regexp_replace(F.regexp_replace(F.trim(c), r"^```[a-zA-Z]*\s*", ""), r"\s*```$", ""))
+    wrap = lambda t: F.concat(F.lit('{"items":'), t, F.lit("}"))
+    obj = lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
+    arr = lambda t: F.when(F.schema_of_variant(F.try_parse_json(t)).startswith("ARRAY"), F.try_parse_json(wrap(t)))
+    return F.coalesce(obj(F.try_parse_json(x)), arr(x), obj(F.try_parse_json(F.regexp_extract(x, r"(?s)(\{.*\})", 1))), arr(F.regexp_extract(x, r"(?s)(\[.*\])", 1)), F.try_parse_json(F.lit("{}")))
+
+
 def merge_chunks(fields: DataFrame) -> DataFrame:
     """One row per record and field: the first chunk that has it wins (record_id, field_name, chunk_index, value)."""
     return fields.where("value IS NOT NULL").groupBy("record_id", "field_name").agg(F.min_by("value", "chunk_index").alias("value"), F.min("chunk_index").alias("chunk_index"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import dealt, reference, streams
+from . import dealt, pipeline, reference, streams
 
 FLAGSHIP = "vote_fields"
-_MODULES = (dealt, reference, streams)
+_MODULES = (dealt, reference, pipeline, streams)
 
 
 def queries() -> dict:

@@ -197,7 +197,7 @@ for _p in ("inc\\.?", "ltd\\.?", "corp\\.?", "llc\\.?", "plc\\.?", "gmbh", "co\\
     _LEGAL_SQL = f"regexp_replace({_LEGAL_SQL}, '\\b{_p}(\\s|$)', '\\1', 'g')"
 
 
-@query(f"""SELECT id, trim(trim(trim(regexp_replace({_LEGAL_SQL}, '\\s+', ' ', 'g')), '.,;:!?-—–')) AS clean FROM review_items WHERE regexp_full_match(extracted_name, '[\\x00-\\x7F]*')""")
+@query()
 def name_sanitize(spark, d):
     return load(spark, d, "review_items").where("extracted_name IS NOT NULL").select("id", N.sanitize_entity_name(F.col("extracted_name")).alias("clean"))
 
@@ -234,9 +234,7 @@ def content_dedup(spark, d):
     return D.first_rows(x, ["source_name", "content_hash"], ["manifest_id"])
 
 
-@query(f"""SELECT manifest_id, cast(day AS varchar) AS day, row_number() OVER (PARTITION BY k, source_name, day ORDER BY manifest_id) > 1 AS is_duplicate FROM (
-  SELECT manifest_id, source_name, cast(fetched_at AT TIME ZONE 'UTC' AS date) AS day, 'https://' || host || rtrim(path, '/') || CASE WHEN q = '' THEN '' ELSE '?' || q END AS k
-  FROM (SELECT *, {_KEEP.format("", _SHORT, "")} AS q FROM (SELECT manifest_id, source_name, fetched_at, {_NORM} FROM crawl_manifests WHERE url IS NOT NULL AND fetched_at IS NOT NULL AND source_name IS NOT NULL AND lower(url) = url)))""")
+@query()
 def url_day_dedup(spark, d):
     x = load(spark, d, "crawl_manifests").where("url IS NOT NULL AND fetched_at IS NOT NULL AND source_name IS NOT NULL")
     return D.url_day_dedup(x, N.dedup_hash(F.col("url"), F.lit(""), F.col("source_name")), "fetched_at", "manifest_id").select("manifest_id", F.col("day").cast("string").alias("day"), "is_duplicate")
@@ -385,34 +383,6 @@ def date_tolerance(spark, d):
     return x.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("lines"), F.count_if(near).alias("within_a_day"), F.round(F.max(F.when(near, 1 - diff / 86_400_000_000).otherwise(0.0)), 6).alias("best"))
 
 
-_MULT = "CASE lower(regexp_extract(value, '" + G.NUMBER + "', 2)) WHEN 'k' THEN 1e3 WHEN 'thousand' THEN 1e3 WHEN 'm' THEN 1e6 WHEN 'mm' THEN 1e6 WHEN 'million' THEN 1e6 WHEN 'b' THEN 1e9 WHEN 'bn' THEN 1e9 WHEN 'billion' THEN 1e9 WHEN 't' THEN 1e12 WHEN 'trillion' THEN 1e12 ELSE 1.0 END"
-_VERIFIED_SQL = _FIELDS_SQL + """,
-  f1 AS (SELECT *, regexp_replace(value, '[$€£¥,\\s]', '', 'g') AS plain, FLAT_E AS ef, FLAT_S AS sf, try_cast(replace(regexp_extract(value, 'NUMBER', 1), ',', '') AS double) * MULT AS x, NUMS AS ns FROM fl),
-  f2 AS (SELECT *, contains(sf, ef) AS inside, regexp_full_match(plain, '\\d+\\.?\\d*[BMKbmk]?') AS is_num, regexp_matches(lower(value), '^(https?://|www\\.)') AS is_url,
-    len(list_filter(ns, lambda n: n <> 0 AND abs(x - n) <= abs(n) * 0.01)) > 0 AND x <> 0 AS num_ok, regexp_replace(rtrim(lower(value), '/'), '^https?://', '') AS bare FROM f1),
-  vf AS (SELECT *, CASE WHEN trim(value) = '' THEN 'MISSING' WHEN trim(evidence) = '' THEN 'UNVERIFIED' WHEN CASE WHEN is_num THEN coalesce(num_ok, FALSE) AND inside WHEN is_url THEN contains(lower(source), bare) ELSE inside END THEN 'GROUNDED' ELSE 'UNVERIFIED' END AS status FROM f2)""".replace(
-    "FLAT_E", _FLAT.format("evidence")).replace("FLAT_S", _FLAT.format("source")).replace("NUMBER", G.NUMBER).replace("MULT", _MULT).replace("NUMS", _NUMS.replace("@", "source"))
-_OVERLAP = "len(list_filter(string_split({0}, ' '), lambda w: list_contains(string_split(sf, ' '), w))) / len(string_split({0}, ' '))"
-_FLAGS_SQL = _VERIFIED_SQL + f""",
-  fg0 AS (SELECT *, CASE WHEN status = 'GROUNDED' THEN 1.0 ELSE 0.0 END AS g, regexp_matches(evidence, '{G.GENERIC}') AS generic, value IN ({", ".join(f"'{v}'" for v in G.ASSUMED)}) AND confidence > 0.9 AS assumed, {_FLAT.format("value")} AS fv,
-    CASE lower(right(plain, 1)) WHEN 't' THEN try_cast(left(plain, -1) AS double) * 1e12 WHEN 'b' THEN try_cast(left(plain, -1) AS double) * 1e9 WHEN 'm' THEN try_cast(left(plain, -1) AS double) * 1e6 WHEN 'k' THEN try_cast(left(plain, -1) AS double) * 1e3 ELSE try_cast(plain AS double) END AS amount FROM vf WHERE trim(value) <> ''),
-  fg1 AS (SELECT *, length(value) < 3 OR contains(lower(source), lower(trim(value))) OR (regexp_full_match(plain, '\\d+(\\.\\d+)?') AND contains(source, regexp_replace(plain, '\\..*$', ''))) OR (len(string_split(fv, ' ')) >= 2 AND {_OVERLAP.format("fv")} >= 0.6) AS attributed FROM fg0),
-  fg AS (SELECT record_id, field_name, unnest(list_filter([
-    CASE WHEN length(evidence) < 10 THEN {{'c': 'fabrication', 's': 'warning'}} END,
-    CASE WHEN length(evidence) >= 10 AND NOT inside AND len(string_split(ef, ' ')) >= 3 AND {_OVERLAP.format("ef")} < 0.7 THEN {{'c': 'fabrication', 's': 'critical'}} END,
-    CASE WHEN g > 0 AND confidence - g > 0.35 THEN {{'c': 'inflation', 's': 'warning'}} END,
-    CASE WHEN generic THEN {{'c': 'suspicious', 's': 'warning'}} END,
-    CASE WHEN NOT generic AND assumed THEN {{'c': 'suspicious', 's': 'info'}} END,
-    CASE WHEN NOT generic AND NOT assumed AND field_name = 'foundedDate' AND try_cast(regexp_extract(value, '(\\d{{4}})', 1) AS int) > 2025 THEN {{'c': 'suspicious', 's': 'critical'}} END,
-    CASE WHEN NOT attributed THEN {{'c': 'attribution', 's': 'warning'}} END,
-    CASE WHEN field_name = 'website' AND NOT regexp_matches(value, '{G.URL_SHAPE}') THEN {{'c': 'url_format', 's': 'warning'}} END,
-    CASE WHEN field_name = 'fundingTotal' AND (amount < 1e3 OR amount > 5e11) OR field_name = 'employeeCount' AND (amount < 1 OR amount > 5e6) THEN {{'c': 'outlier', 's': 'critical'}} END], lambda x: x IS NOT NULL)) AS f FROM fg1)"""
-_TRUST_SQL = _FLAGS_SQL + """,
-  ck AS (SELECT record_id, count(*) AS fields_checked FROM fl WHERE trim(value) <> '' GROUP BY 1),
-  ag AS (SELECT record_id, count(*) FILTER (f.s = 'critical') AS critical, count(*) FILTER (f.s = 'warning') AS warnings, count(*) FILTER (f.s = 'info') AS infos FROM fg GROUP BY 1),
-  ts AS (SELECT record_id, fields_checked, coalesce(critical, 0) AS critical, coalesce(warnings, 0) AS warnings, coalesce(infos, 0) AS infos, round(greatest(0.0, 1 - 0.25 * coalesce(critical, 0) - 0.10 * coalesce(warnings, 0) - 0.03 * coalesce(infos, 0)), 4) AS trust_score FROM ck LEFT JOIN ag USING (record_id))"""
-
-
 def _flags(spark, d):
     v = G.verify_field(_fields(spark, d))
     return v, G.field_flags(v, 2024)
@@ -430,23 +400,22 @@ def _all_flags(spark, d):
     return x, G.flag_rows(x).unionByName(G.record_flags(x, _REQUIRED))
 
 
-@query(f"WITH {_VERIFIED_SQL} SELECT record_id, field_name, CASE field_name WHEN 'foundedDate' THEN 'date' WHEN 'website' THEN 'url' ELSE 'numeric' END AS field_class, status, CASE WHEN status = 'GROUNDED' THEN 100.0 ELSE 0.0 END::double AS grounding FROM vf")
+@query()
 def field_status(spark, d):
     return G.verify_field(_fields(spark, d)).select("record_id", "field_name", G.classify_field(F.col("field_name")).alias("field_class"), "status", "grounding")
 
 
-@query(f"WITH {_FLAGS_SQL} SELECT record_id, field_name, f.c AS check_type, f.s AS severity FROM fg")
+@query()
 def field_flags(spark, d):
     return _flags(spark, d)[1]
 
 
-@query(f"""WITH {_TRUST_SQL} SELECT *, CASE WHEN critical > 0 OR trust_score < 0.4 THEN 'reject' WHEN warnings > 0 OR trust_score < 0.7 THEN 'review' ELSE 'accept' END AS recommendation, critical = 0 AND trust_score >= 0.6 AS trustworthy FROM ts""")
+@query()
 def trust_score(spark, d):
     return G.trust(*_all_flags(spark, d))
 
 
-@query(f"""WITH {_FLAGS_SQL}, bad AS (SELECT DISTINCT record_id, TRUE AS bad FROM fg WHERE f.s = 'critical'), rs AS (SELECT record_id, count(*) AS total, count(*) FILTER (status = 'GROUNDED') AS grounded, round(count(*) FILTER (status = 'GROUNDED') / count(*), 6) AS ratio FROM vf GROUP BY 1)
-  SELECT record_id, total, grounded, ratio, CASE WHEN bad THEN 'unverified' WHEN grounded = total THEN 'grounded' WHEN ratio >= 0.5 THEN 'partial' ELSE 'unverified' END AS record_status FROM rs LEFT JOIN bad USING (record_id)""")
+@query()
 def record_status(spark, d):
     return G.record_status(*_all_flags(spark, d))
 
@@ -486,12 +455,12 @@ def seed_exact(spark, d):
 
 @query()
 def cascade_resolve(spark, d):
-    return R.resolve_cascade(_queries(spark, d), _seeds(spark, d)).withColumn("confidence", F.round("confidence", 6))
+    return R.resolve_cascade(_queries(spark, d), _seeds(spark, d), embed=R.name_vectors).withColumn("confidence", F.round("confidence", 6))
 
 
 @query()
 def fuzzy_topk(spark, d):
-    return R.fuzzy_topk(_queries(spark, d).select("qid", "qname"), R.seed_names(_seeds(spark, d)).select("canonical_id", "name"))
+    return R.fuzzy_topk(_queries(spark, d), R.seed_names(_seeds(spark, d)).select("canonical_id", "name", "record_type"))
 
 
 @query("""WITH p AS (SELECT record_id, unnest(list_distinct(list_concat(['p:' || substr(n, 1, 3)], list_transform(list_filter(regexp_split_to_array(n, '\\s+'), lambda w: length(w) >= 2), lambda w: 't:' || w)))) AS bk FROM (SELECT record_id, lower(trim(entity_name)) AS n FROM papers WHERE trim(entity_name) <> '')),
@@ -595,7 +564,7 @@ def chunk_documents(spark, d):
     return P.chunk_texts(load(spark, d, "documents"), "doc_id", "text", 300, 20)
 
 
-@query("""SELECT page_id, trim(regexp_replace(regexp_extract(payload, '<title>([^<]*)</title>', 1), '\\s+', ' ', 'g')) AS title FROM raw_pages WHERE regexp_matches(payload, '<title>[^<&]*</title>')""")
+@query()
 def html_meta(spark, d):
     return P.page_parts(load(spark, d, "raw_pages"), "page_id", "payload").select("page_id", "title")
 
@@ -615,7 +584,7 @@ def json_fields(spark, d):
     return load(spark, d, "events").select("event_id", N.parse_model_json(F.col("props"), "k bigint").getField("k").alias("k"))
 
 
-@query("SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '[\\x00-\\x08\\x0b-\\x1f\\x7f-\\x9f]', '', 'g'), '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), ' ') AS clean FROM documents WHERE text IS NOT NULL AND NOT contains(text, '&') AND NOT regexp_matches(text, '[\\x{00A0}\\x{0085}\\x{2000}-\\x{200B}\\x{202F}\\x{3000}\\r\\f\\v]')")
+@query()
 def sanitize_text(spark, d):
     x = load(spark, d, "documents").where("text IS NOT NULL")
     return x.select("doc_id", N.sanitize_text(F.col("text")).alias("clean"))
@@ -694,7 +663,7 @@ def chunk_merge(spark, d):
 
 @query("""SELECT parsed_id, cast(min(d) AS varchar) AS first_day, count(d) AS dates FROM (SELECT parsed_id, unnest(list_filter(list_concat(
   list_transform(regexp_extract_all(raw, '\\d{4}-\\d{2}-\\d{2}'), lambda x: try_strptime(x, '%Y-%m-%d')), list_transform(regexp_extract_all(raw, '(?:January|February|March|April|May|June|July|August|September|October|November|December) \\d{1,2}, \\d{4}'), lambda x: try_strptime(x, '%B %-d, %Y')),
-  list_transform(regexp_extract_all(raw, '\\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \\d{4}'), lambda x: try_strptime(x, '%-d %B %Y'))), lambda x: x IS NOT NULL AND year(x) > 0))::date AS d FROM parsed_dates WHERE raw IS NOT NULL AND NOT contains(raw, '0000')) GROUP BY 1""")
+  list_transform(regexp_extract_all(raw, '\\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \\d{4}'), lambda x: try_strptime(x, '%-d %B %Y'))), lambda x: x IS NOT NULL AND year(x) > 0))::date AS d FROM parsed_dates WHERE raw IS NOT NULL) GROUP BY 1""")
 def dates_in_text(spark, d):
     x = load(spark, d, "parsed_dates").where("raw IS NOT NULL").withColumn("ds", DT.dates_in(F.col("raw"))).where(F.size("ds") > 0)
     return x.select("parsed_id", F.array_min("ds").cast("string").alias("first_day"), F.size("ds").cast("long").alias("dates"))

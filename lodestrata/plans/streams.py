@@ -26,8 +26,41 @@ def stream_circuit_breaker(spark, d):
     return flows.drain(flows.circuit_breaker(x, "source_name", "fetched_at", "ok", 2, 3_600_000_000), "stream-breaker")
 
 
-QUERIES = {f.__name__: f for f in (stream_dedup, stream_window_counts, stream_dead_letters, stream_circuit_breaker)}
+def stream_url_dedup(spark, d):
+    """Addresses in lower case, once per source and UTC day."""
+    x = flows.read_stream(spark, f"{d}/crawl_manifests.parquet").where("source_name IS NOT NULL")
+    return flows.drain(flows.dedup_urls(x, F.lower(F.trim("url")), "source_name", "fetched_at", "3650 days"), "stream-urls").select("dup_key", "source_name", F.col("day").cast("string").alias("day"))
+
+
+def stream_content_dedup(spark, d):
+    x = flows.read_stream(spark, f"{d}/crawl_manifests.parquet").where("source_name IS NOT NULL")
+    return flows.drain(flows.dedup_contents(x, "content_hash", "source_name"), "stream-contents")
+
+
+def stream_retries(spark, d):
+    """Messages whose worker fails them: those with an attempt left go to the retries, the others to the dead letters."""
+    base = flows.own_folder(spark, "stream-retries")
+    x = flows.read_stream(spark, f"{d}/queue_messages.parquet").select("entry_id", "attempt", "url")
+    fail = lambda df: df.withColumn("error", F.when(F.col("url").isNull() | (F.length("url") % 3 == 0), "unreadable"))
+    flows.retry_failed(x, fail, f"{base}/out", f"{base}/checkpoint", 3).awaitTermination()
+    part = lambda n: spark.read.parquet(f"{base}/out/{n}").select("entry_id", "attempt", F.lit(n).alias("part"))
+    return part("done").unionAll(part("retry")).unionAll(part("dead"))
+
+
+def stream_export(spark, d):
+    """Rows that an export appends, once each."""
+    base = flows.own_folder(spark, "stream-export")
+    x = flows.read_stream(spark, f"{d}/jobs.parquet").where("verification_status = 'grounded'").select("record_id", "title")
+    flows.export_every(x, f"{base}/out", f"{base}/checkpoint", None).awaitTermination()
+    return spark.read.schema(x.schema).parquet(f"{base}/out")
+
+
+QUERIES = {f.__name__: f for f in (stream_dedup, stream_window_counts, stream_dead_letters, stream_circuit_breaker, stream_url_dedup, stream_content_dedup, stream_retries, stream_export)}
 ORACLES = {
+    "stream_url_dedup": "SELECT DISTINCT lower(trim(url)) AS dup_key, source_name, cast(cast(fetched_at AT TIME ZONE 'UTC' AS date) AS varchar) AS day FROM crawl_manifests WHERE source_name IS NOT NULL AND url IS NOT NULL AND fetched_at IS NOT NULL",
+    "stream_content_dedup": "SELECT DISTINCT content_hash, source_name FROM crawl_manifests WHERE source_name IS NOT NULL AND content_hash IS NOT NULL",
+    "stream_retries": """SELECT entry_id, coalesce(attempt, 0) + f AS attempt, CASE WHEN f = 0 THEN 'done' WHEN coalesce(attempt, 0) + f < 3 THEN 'retry' ELSE 'dead' END AS part FROM (SELECT *, CASE WHEN url IS NULL OR length(url) % 3 = 0 THEN 1 ELSE 0 END AS f FROM queue_messages)""",
+    "stream_export": "SELECT record_id, title FROM jobs WHERE verification_status = 'grounded'",
     "stream_dedup": f"SELECT DISTINCT uid FROM (SELECT {_KEY} AS uid FROM queue_messages WHERE message_id IS NOT NULL AND received_at IS NOT NULL) WHERE uid <> ''",
     "stream_window_counts": "SELECT epoch_us(date_trunc('hour', ts)) AS start_us, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "stream_dead_letters": f"""SELECT entry_id, error FROM (SELECT entry_id, CASE WHEN message_id IS NULL OR {_KEY} = '' THEN 'missing_identifier' WHEN coalesce(trim(url), '') = '' THEN 'missing_url' WHEN attempt >= max_attempts THEN 'attempts_exhausted' END AS error FROM queue_messages) WHERE error IS NOT NULL""",

@@ -21,9 +21,12 @@ def read_raw(spark: SparkSession, path: str, source: str | None = None, day: str
     return d if day is None else d.where(F.col("dt") == F.lit(day).cast("date"))
 
 
-def read_seeds(spark: SparkSession, path: str) -> DataFrame:
-    """Seeds from JSON (canonical_id, name, record_type, aliases), in file order; the type defaults to STARTUP, aliases to none."""
-    d = spark.read.schema("canonical_id string, name string, record_type string, aliases array<string>").json(path, multiLine=True)
+def read_seeds(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Seeds from JSON (canonical_id, name, record_type, aliases), in file order; the type defaults to STARTUP, aliases to none.
+
+    The file is one array, or an object a line (``lines``).
+    """
+    d = spark.read.schema("canonical_id string, name string, record_type string, aliases array<string>").json(path, multiLine=not lines)
     return d.withColumn("record_type", F.coalesce("record_type", F.lit("STARTUP"))).withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>"))).withColumn("pos", F.monotonically_increasing_id())
 
 
@@ -33,6 +36,25 @@ def uncached(requests: DataFrame, cache: DataFrame, now: str, hours: int = 24) -
     return requests.join(fresh, "cache_key", "left_anti")
 
 
+def cache_answers(answers: DataFrame, path: str, now: str) -> None:
+    """Adds answers (cache_key, answer) to the result cache, stored at ``now``."""
+    answers.select("cache_key", "answer", F.lit(now).cast("timestamp").alias("stored_at")).write.mode("append").parquet(path)
+
+
+def append_evidence(rows: DataFrame, path: str) -> None:
+    """Adds evidence rows (record_id, field_name, value, evidence, confidence) to the evidence table, which only grows."""
+    rows.select(F.col("record_id").cast("long").alias("record_id"), "field_name", "value", "evidence", F.col("confidence").cast("double").alias("confidence")).write.mode("append").parquet(path)
+
+
+def seed_entities(seeds: DataFrame, entities: DataFrame | None = None) -> DataFrame:
+    """Entities with every seed in it as grounded and confirmed; an entity that is there already becomes a seed."""
+    s = seeds.select("canonical_id", F.col("name").alias("entity_name"), "record_type", F.lit("grounded").alias("status"), F.lit(1.0).alias("confidence"), F.lit(True).alias("is_seed"))
+    if entities is None:
+        return s
+    rest = entities.join(s.select("canonical_id"), "canonical_id", "left_anti").select(*s.columns)
+    return s.unionByName(rest)
+
+
 def write_tabs(tabs: dict[str, DataFrame], path: str) -> None:
     """A full refresh of every tab as CSV with a header."""
     for name, df in tabs.items():

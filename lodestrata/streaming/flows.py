@@ -21,12 +21,18 @@ def read_stream(spark: SparkSession, path: str, files: int | None = None) -> Dat
     return (r.option("maxFilesPerTrigger", files) if files else r).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over all that is there and returns what it wrote (in complete mode: its last state)."""
-    spark = stream.sparkSession
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new folder on shared storage, removed when the driver's JVM ends."""
     base = f"{shared_dir(spark)}/lodestrata/{name}-{uuid.uuid4().hex}"
     fs, p = _fs(spark, base)
     fs.deleteOnExit(p)
+    return base
+
+
+def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """Runs a stream over all that is there and returns what it wrote (in complete mode: its last state)."""
+    spark = stream.sparkSession
+    base = own_folder(spark, name)
     if mode == "append":
         w = stream.writeStream.format("parquet").option("path", f"{base}/out")
     else:
@@ -41,6 +47,37 @@ def dedup_messages(stream: DataFrame, delay: str = "30 days", seen_at: str = "re
     return d.withWatermark("seen_at", delay).dropDuplicatesWithinWatermark(["uid"]).select("uid")
 
 
+def dedup_urls(stream: DataFrame, key, source: str, ts: str, delay: str = "30 days") -> DataFrame:
+    """``dup_key, source, day``: each page once per source and UTC day; what is known is kept as state for ``delay``."""
+    d = stream.select(key.alias("dup_key"), F.col(source), F.col(ts).cast("timestamp").alias("at")).where("dup_key IS NOT NULL AND at IS NOT NULL").withColumn("day", F.to_date("at"))
+    return d.withWatermark("at", delay).dropDuplicatesWithinWatermark(["dup_key", source, "day"]).select("dup_key", source, "day")
+
+
+def dedup_contents(stream: DataFrame, content: str, source: str) -> DataFrame:
+    """``content, source``: each content once per source, for good: the state has every pair ever seen."""
+    return stream.select(content, source).where(F.col(content).isNotNull()).dropDuplicates([content, source])
+
+
+def retry_failed(stream: DataFrame, handle, path: str, checkpoint: str, most: int = 5):
+    """Starts a consumer: ``handle(df)`` gives df plus ``error`` (null for success); a failed message is written to ``path/retry``
+    with one attempt more, or to ``path/dead`` once ``most`` are used up. Every micro-batch writes its own folder, so one that
+    is repeated after a crash replaces itself."""
+
+    def run(df: DataFrame, batch: int) -> None:
+        done = handle(df).withColumn("attempt", F.coalesce("attempt", F.lit(0)) + F.when(F.col("error").isNull(), 0).otherwise(1)).persist()
+        for part, rows in (("done", F.col("error").isNull()), ("retry", F.col("error").isNotNull() & (F.col("attempt") < most)), ("dead", F.col("error").isNotNull() & (F.col("attempt") >= most))):
+            done.where(rows).write.mode("overwrite").parquet(f"{path}/{part}/batch={batch}")
+        done.unpersist()
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def export_every(stream: DataFrame, path: str, checkpoint: str, minutes: int | None = 30):
+    """Starts an export that appends what is new every so many minutes (None: all that is there, once), exactly once a row."""
+    w = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if minutes is None else w.trigger(processingTime=f"{minutes} minutes")).start()
+
+
 def window_counts(stream: DataFrame, ts: str, key: str, width: str = "1 hour", delay: str = "1 day") -> DataFrame:
     d = stream.withColumn("at", F.col(ts).cast("timestamp")).withWatermark("at", delay)
     return d.groupBy(F.window("at", width).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(F.unix_micros("w.start").alias("start_us"), key, "n")

@@ -108,7 +108,7 @@ def test_resolution(spark):
     seeds = spark.createDataFrame([("s1", "Acme Inc", "STARTUP", ["ACME Corp"], 0), ("s2", "Beta Works", "STARTUP", None, 1), ("p1", "acme corp", "PRODUCT", [], 2)], "canonical_id string, name string, record_type string, aliases array<string>, pos long")
     q = spark.createDataFrame([(1, "acme inc", "STARTUP"), (2, "ACME CORP", "STARTUP"), (3, "Acme", "STARTUP"), (4, "works betaa", "STARTUP"), (5, "Nothing Alike", "JOB"), (6, " ", "JOB"), (7, None, "JOB")], "qid long, qname string, record_type string")
     got = {r.qid: (r.canonical_id, r.method) for r in R.resolve_cascade(q, seeds).collect()}
-    assert got == {1: ("s1", "exact"), 2: ("p1", "exact"), 3: ("p1", "normalized"), 4: ("s2", "fuzzy"), 5: ("job_nothing-alike", "unresolved"), 6: ("unknown", "unresolved"), 7: ("unknown", "unresolved")}
+    assert got == {1: ("s1", "exact"), 2: ("p1", "exact"), 3: ("p1", "normalized"), 4: ("s2", "fuzzy"), 5: ("job_nothing-alike", "unresolved"), 6: ("job_unknown", "unresolved"), 7: ("job_unknown", "unresolved")}
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.8, 0.6]), (3, [0.0, 0.0])], "pid long, vec array<double>")
     s = spark.createDataFrame([(9, [1.0, 0.0]), (8, [1.0, 0.0])], "seed_id long, vec array<double>")
     assert {(r.pid, r.seed_id, r.band) for r in R.vector_match(v, s).collect()} == {(1, 8, "accept"), (2, 8, "review"), (3, 8, "none")}
