@@ -1,7 +1,7 @@
 """Consolidating pairwise matches into groups.
 
 The match graph is reduced before it is solved: vertices of degree one are stripped, chains of vertices of degree two are
-compressed by list ranking (pointer doubling over the chain's arcs), and both are repeated while they shrink the graph.
+compressed by list ranking (pointer jumping over the chain's arcs), and both are repeated while they shrink the graph.
 What is left, the core, is solved by large-star/small-star rounds. Labels are then restored to the removed vertices by
 pointer doubling over the log of removals, and every group gets its smallest member as identifier. Every step is a join or an aggregation on long
 integers; each round is written to the shared folder, so lineage stays short and a lost executor costs one round.
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..session import discard, stage
+from ..session import discard, measured, stage
 
 NOTHING = ("", "n/a", "unknown", "-", "none", "null", "tbd")
 
@@ -27,47 +27,70 @@ def _ends(e: DataFrame) -> DataFrame:
     return _both(e).groupBy("u").agg(F.count(F.lit(1)).alias("deg"), F.min("v").alias("a"), F.max("v").alias("b"))
 
 
-def _strip(e: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Removes the vertices of degree one: (log of vertex and parent, remaining edges)."""
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
+def _strip(e: DataFrame, name: str) -> tuple[DataFrame, DataFrame, int]:
+    """Removes the vertices of degree one: (log of vertex and parent, remaining edges, number removed)."""
     d = _ends(e).where("deg = 1").select("u", F.col("a").alias("parent"))
     # of a lone edge's two leaves only the larger goes, so its parent stays
-    log = stage(d.join(d.select(F.col("u").alias("parent"), F.col("parent").alias("u"), F.lit(1).alias("lone")), ["u", "parent"], "left").where("lone IS NULL OR u > parent").select("u", "parent"), f"{name}-leaves")
+    log = d.join(d.select(F.col("u").alias("parent"), F.col("parent").alias("u"), F.lit(1).alias("lone")), ["u", "parent"], "left").where("lone IS NULL OR u > parent").select("u", "parent")
+    log = stage(log, f"{name}-leaves", n=_rows())
+    n = measured(log, "n") or 0
+    if not n:
+        return log, e, 0
     gone = log.select(F.least("u", "parent").alias("u"), F.greatest("u", "parent").alias("v"))
-    return log, stage(e.join(gone, ["u", "v"], "left_anti"), f"{name}-edges")
-
-
-def _compress(e: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Replaces every chain of degree-two vertices by one edge: (log, remaining edges)."""
-    two = stage(_ends(e).where("deg = 2").select(F.col("u").alias("x"), "a", "b"), f"{name}-two")
+    return log, stage(e.join(gone, ["u", "v"], "left_anti"), f"{name}-edges"), n
+
+
+def _doubled(p: DataFrame, table: DataFrame) -> DataFrame:
+    """Arcs ``p`` carried on by what ``table`` says of the arcs they end at, twice: reach 1 becomes 3."""
+    q = table.select(F.col("f").alias("nf"), F.col("x").alias("nx"), F.col("nf").alias("f2"), F.col("nx").alias("x2"), F.col("done").alias("d2"), F.col("rank").alias("r2"), F.col("low").alias("l2"))
+    for _ in range(2):
+        step = p.join(q, ["nf", "nx"], "left")
+        on = ~F.col("done")
+        p = step.select(
+            "f", "x", F.when(on, F.col("f2")).otherwise(F.col("nf")).alias("nf"), F.when(on, F.col("x2")).otherwise(F.col("nx")).alias("nx"), F.when(on, F.col("d2")).otherwise(F.col("done")).alias("done"),
+            F.when(on, F.col("rank") + F.col("r2")).otherwise(F.col("rank")).alias("rank"), F.when(on, F.least("low", "l2")).otherwise(F.col("low")).alias("low"),
+        )
+    return p
+
+
+def _compress(e: DataFrame, name: str) -> tuple[DataFrame, DataFrame, int | None]:
+    """Replaces every chain of degree-two vertices by one edge: (log, remaining edges, their number; None: nothing to compress)."""
+    two = stage(_ends(e).where("deg = 2").select(F.col("u").alias("x"), "a", "b"), f"{name}-two", n=_rows())
+    if not measured(two, "n"):
+        return two.select(F.col("x").alias("u"), F.col("a").alias("parent")), e, None
     inner = two.select("x")
+    left = {"n": F.count_if(~F.col("done")), "low": F.sum(F.when(~F.col("done"), F.col("low").cast("decimal(38,0)")))}
     # an arc enters x from one neighbour and leaves to the other; it ends where that other one is no chain vertex
     arcs = two.select(F.col("a").alias("f"), "x", F.col("b").alias("to")).unionAll(two.select(F.col("b").alias("f"), "x", F.col("a").alias("to")))
     p = stage(
         arcs.join(inner.select(F.col("x").alias("to"), F.lit(True).alias("more")), "to", "left").select(
             "f", "x", F.col("x").alias("nf"), F.col("to").alias("nx"), F.col("more").isNull().alias("done"), F.lit(1).cast("long").alias("rank"), F.least("x", "to").alias("low")
         ),
-        f"{name}-arcs",
-    )
+        f"{name}-arcs", **left,
+    )
     before = None
     while True:
-        now = p.where("NOT done").agg(F.count(F.lit(1)), F.sum(F.col("low").cast("decimal(38,0)"))).first()
-        if now[0] == 0 or tuple(now) == before:  # all ranked, or only rings are left and their minimum went all round
+        now = measured(p, "n") or 0, measured(p, "low")
+        if now[0] == 0 or now == before:  # all ranked, or only rings are left and their minimum went all round
             break
-        before = tuple(now)
-        q = p.select(F.col("f").alias("nf"), F.col("x").alias("nx"), F.col("nf").alias("f2"), F.col("nx").alias("x2"), F.col("done").alias("d2"), F.col("rank").alias("r2"), F.col("low").alias("l2"))
-        step = p.where("NOT done").join(q, ["nf", "nx"]).select(
-            "f", "x", F.col("f2").alias("nf"), F.col("x2").alias("nx"), F.col("d2").alias("done"), (F.col("rank") + F.col("r2")).alias("rank"), F.least("low", "l2").alias("low")
-        )
-        nxt = stage(p.where("done").unionByName(step), f"{name}-rank")
+        before = now
+        nxt = stage(_doubled(p, p), f"{name}-rank", **left)
         discard(p)
         p = nxt
     ends = p.groupBy("x").agg(F.bool_and("done").alias("chain"), F.min("nx").alias("e1"), F.max("nx").alias("e2"), F.min("rank").alias("near"), F.min("low").alias("low"))
     ends = stage(ends, f"{name}-ends")
+    discard(p)
     log = ends.select(F.col("x").alias("u"), F.when(F.col("chain"), F.col("e1")).otherwise(F.col("low")).alias("parent")).where("u <> parent")
     # the vertex next to an end (rank 1) speaks for its chain
     short = ends.where("chain AND near = 1 AND e1 <> e2").select(F.col("e1").alias("u"), F.col("e2").alias("v"))
     kept = e.join(inner.select(F.col("x").alias("u")), "u", "left_anti").join(inner.select(F.col("x").alias("v")), "v", "left_anti").select("u", "v")
-    return stage(log, f"{name}-chain"), stage(kept.unionAll(short).distinct(), f"{name}-edges")
+    edges = stage(kept.unionAll(short).distinct(), f"{name}-edges", n=_rows())
+    discard(two)
+    return log, edges, measured(edges, "n") or 0
 
 
 def _star(e: DataFrame, large: bool) -> DataFrame:
@@ -83,27 +106,31 @@ def _star(e: DataFrame, large: bool) -> DataFrame:
 
 def _core(e: DataFrame) -> DataFrame:
     """Stars of the core: (u, parent)."""
-    e = stage(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "core")
+    sums = {"n": _rows(), "sum": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
+    e = stage(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "core", **sums)
     before = None
     while True:
-        s = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if s[0] == 0 or tuple(s) == before:
+        now = measured(e, "n") or 0, measured(e, "sum")
+        if now[0] == 0 or now == before:
             return e.select("u", F.col("v").alias("parent"))
-        before = tuple(s)
-        nxt = stage(_star(_star(e, True), False), "core")
+        before = now
+        nxt = stage(_star(_star(e, True), False), "core", **sums)
         discard(e)
         e = nxt
 
 
 def _roots(forest: DataFrame, depth: int) -> DataFrame:
-    """Restores labels: every vertex of the forest (u, parent) with its root, by pointer doubling."""
+    """Restores labels: every vertex of the forest (u, parent) with its root, by pointer jumping."""
     f = stage(forest, "forest")
     reach = 1
     while reach < depth:
         up = f.select(F.col("u").alias("parent"), F.col("parent").alias("next"))
-        g = stage(f.join(up, "parent", "left").select("u", F.coalesce("next", "parent").alias("parent")), "forest")
+        g = f
+        for _ in range(2):  # two steps on the same table: the reach is three times as long
+            g = g.join(up, "parent", "left").select("u", F.coalesce("next", "parent").alias("parent"))
+        g = stage(g, "forest")
         discard(f)
-        f, reach = g, reach * 2
+        f, reach = g, reach * 3
     return f
 
 
@@ -117,19 +144,25 @@ def group_links(pairs: DataFrame, left: str = "src", right: str = "dst", id_col:
     ignored. The number of links of one vertex is not bounded: vertices are aggregated before they are shuffled.
     """
     raw = pairs.select(F.col(f"`{left}`").cast("long").alias("u"), F.col(f"`{right}`").cast("long").alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    e = stage(raw.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
+    e = stage(raw.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs", n=F.count_if(F.col("u") != F.col("v")), loops=F.count_if(F.col("u") == F.col("v")))
     loops = e.where("u = v").select("u")
-    cur = e.where("u <> v")
-    n = cur.count()
+    cur, n = e.where("u <> v"), measured(e, "n") or 0
     logs: list[DataFrame] = []
     while n:
-        for k in range(2):
-            log, cur = _strip(cur, f"strip{len(logs)}-{k}")
+        name = f"pass{len(logs)}"
+        log, nxt, gone = _strip(cur, name)
+        if gone:
             logs.append(log)
-        log, cur = _compress(cur, f"chain{len(logs)}")
-        logs.append(log)
-        left_over = cur.count()
-        done, n = left_over > shrink * n, left_over
+        rest, after = n - gone, None
+        if rest:
+            log, nxt, after = _compress(nxt, name)
+            if after is not None:
+                logs.append(log)
+                rest = after
+        done = rest > shrink * n or after is None
+        if cur is not nxt:
+            discard(cur)
+        cur, n = nxt, rest
         if done:
             break
     if n:
