@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings crawl_manifests queue_messages "
@@ -50,21 +50,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **metrics: Column) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
-    The files outlive lost executors, and are removed when the driver's JVM ends or by :func:`discard`.
+    The files outlive lost executors, and are removed when the driver's JVM ends or by :func:`discard`. ``metrics``, aggregates
+    by name, are taken while the table is written; :func:`measured` tells them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lodestrata/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    seen = Observation(f"{name}-{uuid.uuid4().hex}") if metrics else None
+    (df.observe(seen, *[c.alias(k) for k, c in metrics.items()]) if seen else df).write.parquet(path)
     fs, p = _fs(spark, path)
     fs.deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
     out._lodestrata_path = path  # type: ignore[attr-defined]
+    out._lodestrata_metrics = seen.get if seen else {}  # type: ignore[attr-defined]
     return out
 
 
+def measured(df: DataFrame, name: str):
+    """What :func:`stage` measured; None for an aggregate of no rows."""
+    return df._lodestrata_metrics.get(name)  # type: ignore[attr-defined]
+
+
 def discard(df: DataFrame | None) -> None:
     """Remove what :func:`stage` wrote, once nothing reads it any more."""
     path = getattr(df, "_lodestrata_path", None)
