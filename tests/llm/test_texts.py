@@ -179,6 +179,16 @@ def test_plan_uses_every_item_once(capacity):
     assert sum(load.values()) / (k * capacity) > 0.85
 
 
+@pytest.mark.parametrize("capacity", [64, 512, 1500])
+def test_combinations_earn_their_place(capacity):
+    """Least squares over combinations needs no more containers than the greedy rest alone, and fewer where few items fill one."""
+    r = np.random.default_rng(capacity)
+    n = np.clip(r.lognormal(np.log(capacity / 2.5), 0.5, 40_000).astype(int), 1, capacity)
+    hist = {int(k): int(c) for k, c in zip(*np.unique(n, return_counts=True), strict=True)}
+    (_, ours), (_, greedy) = plan(capacity, hist), plan(capacity, hist, use_nnls=False)
+    assert -(-int(n.sum()) // capacity) <= ours < greedy
+
+
 def test_pack(spark):
     rng = random.Random(5)
     sizes = [(i, rng.choice([0, 3, 9, 9, 9, 20, 33, 64, 65, 200])) for i in range(600)]
