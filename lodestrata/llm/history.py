@@ -1,11 +1,15 @@
 """Deduplicating new batches against all history.
 
 Hashes and addresses are matched by aggregation. Texts are matched through graph index shards: every text becomes a short
-vector (a count sketch of its word pairs), vectors are kept in shards by length band and arrival segment, and each shard is
-a navigable small-world graph (nearest neighbours plus random long links). The beam of a shard is widened until it finds
-what exhaustive search finds on a probe of the shard's own rows; where no beam does, the shard is searched exhaustively.
+vector, the square roots of its hashed word counts; vectors are kept in shards by length band and arrival segment, and each
+shard is a navigable small-world graph (nearest neighbours plus random long links). The beam of a shard is widened until it
+finds what exhaustive search finds on a probe of the shard's own rows; where no beam does, the shard is searched exhaustively.
 Candidates are reranked exactly, by the number of words to be added, removed or replaced. A batch adds a shard a band;
 small shards are compacted into one.
+
+The cut-off of the search loses no pair: k edits leave at least max(n, m) - k words in common, hashing words together and
+taking square roots never lower the overlap, so the cosine of two texts of n and m words is at least
+(max(n, m) - k) / sqrt(n m), which is 0.9 or more where k is a tenth of the longer.
 """
 
 from __future__ import annotations
@@ -16,22 +20,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import normalize_url
-from ..session import discard, stage
+from ..session import path_exists, stage
 
+#: Classes that words are hashed into.
 DIMS = 128
 #: Rows of a shard (its task holds them all), links to nearest rows, long links, rows of a block of queries.
 SHARD_ROWS, NEAR, LONG, BLOCK = 8192, 10, 4, 8192
-#: Least similarity of vectors that goes on to the exact rerank; recall that a beam must reach on the probe; widest beam.
-LEAST, RECALL, WIDEST = 0.65, 0.99, 128
+#: Recall that a beam must reach on the probe; widest beam.
+RECALL, WIDEST = 0.99, 128
+#: Edits for each word of the longer text, and the least similarity of vectors that they leave (less what rounding takes).
 EDITS = 0.1
+LEAST = 1 - EDITS - 2e-3
+#: Texts with more words may have counts that do not fit a vector; they are compared with all rows of their shards.
+MOST_WORDS = 65_535
 #: Texts of one length band differ in length by less than this factor.
 BAND = 1.25
 
 
-#: Buckets of a text's word counts.
-BAG = 128
-
-
 def _slices(batch: pd.DataFrame, text: str, most: int = 4 << 20):
     """The batch in parts of about so many characters, so that long texts do not add up in memory."""
     part = np.cumsum(batch[text].str.len().to_numpy(np.int64)) // most
@@ -40,7 +45,7 @@ def _slices(batch: pd.DataFrame, text: str, most: int = 4 << 20):
 
 
 def embed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, same, n, vec, bag``: identity (hash of the words), number of words, vector and hashed word counts of each text.
+    """``key, same, n, bag``: identity (hash of the words), number of words and hashed word counts of each text.
 
     Whole texts in one narrow pass; words are what white space separates. Texts without words give no row.
     """
@@ -55,21 +60,13 @@ def embed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
                 continue
             h = pd.util.hash_array(flat, categorize=True)
             doc = np.repeat(np.arange(len(b)), n)
-            bag = np.bincount(doc * BAG + (h >> np.uint64(57)).astype(np.int64), minlength=len(b) * BAG).reshape(len(b), BAG)
-            pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] + (h[1:] << np.uint64(7)))
-            same = doc[:-1] == doc[1:]
-            pair, doc = pair[same] * np.uint64(0xD6E8FEB86659FD93), doc[:-1][same]
-            at = doc * DIMS + (pair >> np.uint64(64 - DIMS.bit_length() + 1)).astype(np.int64)
-            sign = 1.0 - 2.0 * ((pair >> np.uint64(20)) & np.uint64(1)).astype(np.float64)
-            v = np.bincount(at, sign, len(b) * DIMS).reshape(len(b), DIMS).astype(np.float32)
-            v = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)).astype(np.float16)
+            bag = np.bincount(doc * DIMS + (h >> np.uint64(64 - DIMS.bit_length() + 1)).astype(np.int64), minlength=len(b) * DIMS).reshape(len(b), DIMS)
+            bag = np.minimum(bag, 65535).astype(np.uint16)
             ident = [hashlib.blake2b(" ".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest() for w in words]
             keep = np.flatnonzero(n)
-            yield pd.DataFrame(
-                {"key": b["key"].to_numpy()[keep], "same": [ident[i] for i in keep], "n": n[keep], "vec": [v[i].tobytes() for i in keep], "bag": [np.minimum(bag[i], 255).astype(np.uint8).tobytes() for i in keep]}
-            )
+            yield pd.DataFrame({"key": b["key"].to_numpy()[keep], "same": [ident[i] for i in keep], "n": n[keep], "bag": [bag[i].tobytes() for i in keep]})
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).where("key IS NOT NULL AND t IS NOT NULL").mapInPandas(run, "key long, same binary, n long, vec binary, bag binary")
+    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).where("key IS NOT NULL AND t IS NOT NULL").mapInPandas(run, "key long, same binary, n long, bag binary")
 
 
 # ---- one shard ----------------------------------------------------------------------------------------------------
@@ -161,25 +158,25 @@ def _few_edits(p: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
     """Whether word counts allow so few edits: one edit changes two counts by one at most. No pair is lost by it."""
     out = np.empty(len(p), bool)
     for s in range(0, len(p), 65536):
-        d = np.abs(p[s : s + 65536].astype(np.int16) - q[s : s + 65536]).sum(1)
+        d = np.abs(p[s : s + 65536].astype(np.int32) - q[s : s + 65536]).sum(1)
         out[s : s + 65536] = d <= 2 * most[s : s + 65536]
     return out
 
 
-def search(x: np.ndarray, links: np.ndarray, width: int, q: np.ndarray) -> np.ndarray:
-    """(query, row) of all pairs with at least LEAST similarity, as the tuned beam finds them."""
+def search(x: np.ndarray, links: np.ndarray, width: int, q: np.ndarray, least: float = LEAST) -> np.ndarray:
+    """(query, row) of all pairs with at least ``least`` similarity, as the tuned beam finds them; width 0: all there are."""
     out: list[np.ndarray] = [np.empty((0, 2), np.int64)]
     rest = [np.arange(len(q))] if not width else []
     for s in range(0, len(q), 1024) if width else ():  # bounds the gathered neighbours
         ids, sims = beam_search(x, links, q[s : s + 1024], width)
-        hit = sims >= LEAST
+        hit = sims >= least
         full = hit.all(1)  # the beam may hold too few: such queries are searched exhaustively
         a, b = np.nonzero(hit & ~full[:, None])
         out.append(np.stack([s + a, ids[a, b]], 1))
         rest.append(s + np.flatnonzero(full))
     rest = np.concatenate(rest)
     for s in range(0, len(rest), 1024):
-        i, j = np.nonzero(q[rest[s : s + 1024]] @ x.T >= LEAST)
+        i, j = np.nonzero(q[rest[s : s + 1024]] @ x.T >= least)
         out.append(np.stack([rest[s + i], j], 1))
     return np.concatenate(out)
 
@@ -187,52 +184,60 @@ def search(x: np.ndarray, links: np.ndarray, width: int, q: np.ndarray) -> np.nd
 # ---- shards of a table --------------------------------------------------------------------------------------------
 
 
-def _vectors(col) -> np.ndarray:
-    return np.frombuffer(b"".join(col), np.float16).reshape(-1, DIMS).astype(np.float32)
+def _bags(col) -> np.ndarray:
+    return np.frombuffer(b"".join(col), np.uint16).reshape(-1, DIMS)
 
 
-_SHARD = "band int, seg int, ids binary, sizes binary, vecs binary, bags binary, links binary, beam int"
+def _vectors(bags: np.ndarray) -> np.ndarray:
+    v = np.sqrt(bags.astype(np.float32))
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+
+
+_SHARD = "band int, seg int, ids binary, sizes binary, bags binary, links binary, beam int"
 
 
 def build_shards(rows: DataFrame) -> DataFrame:
-    """One row a shard: its keys, vectors, links and tuned beam. ``rows``: band, seg, key, n, vec, bag."""
+    """One row a shard: its keys, word counts, links and tuned beam. ``rows``: band, seg, key, n, bag."""
 
     def build(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("key")
-        x = _vectors(g["vec"])
+        x = _vectors(_bags(g["bag"]))
         links = build_graph(x)
-        return pd.DataFrame([{"band": g["band"].iloc[0], "seg": g["seg"].iloc[0], "ids": g["key"].to_numpy(np.int64).tobytes(), "sizes": g["n"].to_numpy(np.int64).tobytes(), "vecs": b"".join(g["vec"]), "bags": b"".join(g["bag"]), "links": links.tobytes(), "beam": tune_beam(x, links)}])
+        beam = 0 if g["n"].max() > MOST_WORDS else tune_beam(x, links)
+        return pd.DataFrame([{"band": g["band"].iloc[0], "seg": g["seg"].iloc[0], "ids": g["key"].to_numpy(np.int64).tobytes(), "sizes": g["n"].to_numpy(np.int64).tobytes(), "bags": b"".join(g["bag"]), "links": links.tobytes(), "beam": beam}])
 
-    return rows.select("band", "seg", "key", "n", "vec", "bag").groupBy("band", "seg").applyInPandas(build, _SHARD)
+    return rows.select("band", "seg", "key", "n", "bag").groupBy("band", "seg").applyInPandas(build, _SHARD)
 
 
-def search_shards(queries: DataFrame, shards: DataFrame, later: bool = False) -> DataFrame:
-    """``a, b``: candidate pairs (a < b) of the queries (key, n, vec, and seg unless ``later``) and the shards' rows.
+def search_shards(queries: DataFrame, shards: DataFrame, exact: bool = False) -> DataFrame:
+    """``a, b``: candidate pairs (a < b) of the queries (key, n, bag, and ``upto``, the last segment they look into; all without it)
+    and the shards' rows.
 
-    A query visits the bands that a text with at most one word in ten changed can be in, and of these the segments up to its
-    own (all of them with ``later``). Queries go in blocks; the shard's row is copied once a block.
+    A query visits the bands that a text with at most one word in ten changed can be in. Queries go in blocks; the shard's row
+    is copied once a block. ``exact`` searches every shard exhaustively: no pair is lost.
     """
     band = lambda n: F.floor(F.log(n) / F.log(F.lit(BAND))).cast("int")
-    q = queries.select("key", "n", "vec", "bag", *([] if later else ["seg"]), F.explode(F.sequence(band(F.col("n") * (1 - EDITS)), band(F.col("n") / (1 - EDITS)))).alias("band"))
-    where = shards.select("band", F.col("seg").alias("s"), F.lit(1).alias("one"))
+    upto = F.col("upto") if "upto" in queries.columns else F.lit(2**31 - 1)
+    q = queries.select("key", "n", "bag", upto.alias("upto"), F.explode(F.sequence(band(F.col("n") * (1 - EDITS)), band(F.col("n") / (1 - EDITS)))).alias("band"))
+    where = shards.select("band", F.col("seg").alias("s"))
     blocks = q.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     q = q.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    visits = q.join(where, "band")
-    visits = (visits if later else visits.where("s <= seg")).select("band", F.col("s").alias("seg"), "block", "key", "n", "vec", "bag")
+    visits = q.join(where, "band").where("s <= upto").select("band", F.col("s").alias("seg"), "block", "key", "n", "bag")
     copies = shards.join(blocks, "band").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).drop("blocks")
 
     def visit(keys, s: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if not len(s) or not len(v):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         r = s.iloc[0]
-        ids, x = np.frombuffer(r["ids"], np.int64), _vectors([r["vecs"]])
+        ids, rows, mine = np.frombuffer(r["ids"], np.int64), _bags([r["bags"]]), _bags(v["bag"])
+        sizes, n = np.frombuffer(r["sizes"], np.int64), v["n"].to_numpy(np.int64)
         links = np.frombuffer(r["links"], np.int32).reshape(len(ids), -1)
-        i, j = search(x, links, int(r["beam"]), _vectors(v["vec"])).T
+        least = LEAST if max(sizes.max(), n.max()) <= MOST_WORDS else -2.0
+        i, j = search(_vectors(rows), links, 0 if exact else int(r["beam"]), _vectors(mine), least).T
         a, b = v["key"].to_numpy(np.int64)[i], ids[j]
-        longer = np.maximum(v["n"].to_numpy(np.int64)[i], np.frombuffer(r["sizes"], np.int64)[j])
-        bags = lambda c: np.frombuffer(b"".join(c), np.uint8).reshape(-1, BAG)
+        longer = np.maximum(n[i], sizes[j])
         keep = np.flatnonzero(a != b)
-        keep = keep[_few_edits(bags(v["bag"])[i[keep]], bags([r["bags"]])[j[keep]], np.floor(longer[keep] * EDITS + 1e-9))]
+        keep = keep[_few_edits(mine[i[keep]], rows[j[keep]], np.floor(longer[keep] * EDITS + 1e-9))]
         return pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
 
     by = ["band", "seg", "block"]
@@ -240,7 +245,8 @@ def search_shards(queries: DataFrame, shards: DataFrame, later: bool = False) ->
 
 
 def segments(rows: DataFrame, batch: str = "batch_no") -> DataFrame:
-    """``rows`` with band and seg: batches in order of arrival, compacted to shards of at most about SHARD_ROWS rows a band."""
+    """``rows`` with band, seg and ``upto``, the last segment of their own batch: batches in order of arrival, compacted to shards of
+    at most about SHARD_ROWS rows a band."""
     from pyspark.sql import Window
 
     d = rows.withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
@@ -250,7 +256,7 @@ def segments(rows: DataFrame, batch: str = "batch_no") -> DataFrame:
     # a batch larger than a shard is cut by key; the next batch starts after its last part
     jump = F.coalesce(F.sum(F.col("parts") - 1).over(Window.partitionBy("band").orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     c = c.withColumn("from", (F.col("first") + jump).cast("int")).select("band", batch, "from", "parts")
-    return d.join(c, ["band", batch]).withColumn("seg", (F.col("from") + F.pmod(F.xxhash64("key"), F.col("parts"))).cast("int")).drop("from", "parts")
+    return d.join(c, ["band", batch]).withColumn("seg", (F.col("from") + F.pmod(F.xxhash64("key"), F.col("parts"))).cast("int")).withColumn("upto", (F.col("from") + F.col("parts") - 1).cast("int")).drop("from", "parts")
 
 
 def edit_words(a: list, b: list, most: int) -> int:
@@ -326,71 +332,108 @@ def _first_of(m: DataFrame, new: DataFrame) -> DataFrame:
     return one.unionAll(two)
 
 
-def similar_texts(docs: DataFrame, batches: DataFrame) -> DataFrame:
+def similar_texts(docs: DataFrame, batches: DataFrame, exact: bool = False) -> DataFrame:
     """(id, kept) by text. ``docs``: id, text; ``batches``: id, batch_no of all manifests; texts of other ids are left out.
 
-    Equal texts are one class, matched by its first member; only classes with a member in a later batch search.
+    Equal texts are one class, matched by its first member; only classes with a member in a later batch search, and only among
+    what arrived with their first member or before: of what came after it, the first member is the smaller one anyway.
     """
     d = stage(embed_texts(docs, "id", "text"), "texts")
     m = d.select(F.col("key").alias("id"), "same").join(batches, "id")
     cls = m.groupBy("same").agg(F.min("id").alias("first"), F.max("batch_no").alias("newest"), F.min_by("batch_no", "id").alias("batch_no"))
     rows = d.where("n >= 9").join(cls.select(F.col("first").alias("key"), "same", "newest", "batch_no"), ["key", "same"]).dropDuplicates(["key", "same"])  # nine words can differ from ten by one; of fewer none may differ
-    rows = stage(segments(rows.select("key", "n", "vec", "bag", "batch_no", "newest")), "vectors")
+    rows = stage(segments(rows.select("key", "n", "bag", "batch_no", "newest")), "vectors")
     shards = stage(build_shards(rows), "shards")
-    pairs = stage(search_shards(rows.where("newest > 0"), shards, later=True), "candidates")
+    pairs = stage(search_shards(rows.where("newest > 0"), shards, exact), "candidates")
     near = rerank(pairs, docs, "id", "text").groupBy(F.col("b").alias("first")).agg(F.min("a").alias("near"))
     best = cls.where("newest > 0").join(near, "first", "left").select("same", F.coalesce("near", "first").alias("kept"))
     return m.where("batch_no > 0").join(best, "same").where("kept < id").select("id", "kept")
 
 
-def duplicates_of_history(manifests: DataFrame, docs: DataFrame) -> DataFrame:
+def duplicates_of_history(manifests: DataFrame, docs: DataFrame, exact: bool = False) -> DataFrame:
     """``kept_id, manifest_id``: every manifest of a later batch (``batch_no`` > 0) that repeats an earlier one (smaller id),
     with the smallest id it repeats: by stated hash; by page address, where one of the two states no hash; or by text.
 
     Defined cases: a null batch is history; a null id gives no row; blank or unreadable hashes are not stated; blank
     addresses and texts repeat nothing; texts of fewer than nine words repeat equal ones only; rows repeated with one id are
-    one manifest, which may have several texts; empty tables give an empty table; other columns are ignored.
+    one manifest, which may have several texts; empty tables give an empty table; other columns are ignored. ``exact`` searches
+    every shard exhaustively instead of by its tuned beam.
     """
     m = manifests.select(
         F.col("manifest_id").cast("long").alias("id"), F.coalesce("batch_no", F.lit(0)).alias("batch_no"), digest(F.col("content_hash")).alias("h"), normalize_url(F.regexp_replace("url", r"^[\s ]+|[\s ]+$", ""), keep_scheme=False).alias("u")
     ).where("id IS NOT NULL")
     m = stage(m, "manifests")
     texts = docs.select(F.col("manifest_id").cast("long").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL")
-    found = _first_of(m, m.where("batch_no > 0")).unionAll(similar_texts(texts, m.groupBy("id").agg(F.max("batch_no").alias("batch_no"))))
+    found = _first_of(m, m.where("batch_no > 0")).unionAll(similar_texts(texts, m.groupBy("id").agg(F.max("batch_no").alias("batch_no")), exact))
     return found.groupBy(F.col("id").alias("manifest_id")).agg(F.min("kept").alias("kept_id")).select("kept_id", "manifest_id")
 
 
+def first_repeated(pairs: DataFrame) -> DataFrame:
+    """``id, kept``: the smallest id that each text repeats, from the pairs of an index; a copy repeats what its first one does."""
+    best = pairs.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("kept"))
+    return best.join(best.select(F.col("id").alias("kept"), F.col("kept").alias("older")), "kept", "left").join(pairs.where("edits = 0").select(F.col("a").alias("kept"), F.col("b").alias("id"), F.lit(True).alias("copy")).distinct(), ["id", "kept"], "left").select(
+        "id", F.when(F.col("copy"), F.least("kept", "older")).otherwise(F.col("kept")).alias("kept")
+    )
+
+
 class HistoryIndex:
-    """Index shards on shared storage for batches that arrive one after another: each batch adds its shards, ``compact`` merges small ones."""
+    """Index shards on shared storage for batches that arrive one after another: each batch adds its shards, ``compact`` merges small ones.
+
+    ``texts/batch=<no>`` and ``shards/batch=<no>`` hold a batch each, ``compacted/upto=<no>`` the merged shards of all batches up to
+    that number. Every folder is written whole and counts once its ``_SUCCESS`` is there; nothing is overwritten that readers
+    use, so a failure loses nothing, and a batch that is given again under its number replaces itself.
+    """
 
     def __init__(self, spark, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _exists(self, path: str) -> bool:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
-
-    def shards(self) -> DataFrame | None:
-        return self.spark.read.schema(_SHARD).parquet(f"{self.path}/shards") if self._exists(f"{self.path}/shards") else None
-
-    def add(self, batch: DataFrame) -> DataFrame:
-        """``a, b, edits``: what of ``batch`` (id, text) repeats an accepted text or one of the same batch; adds the batch."""
+    def _done(self, part: str, key: str) -> list[int]:
+        """Numbers of the folders ``part/key=<no>`` that are complete."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(p)]
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{key}=") and path_exists(self.spark, f"{self.path}/{part}/{n}/_SUCCESS"))
+
+    def shards(self, before: int | None = None) -> DataFrame | None:
+        """Shards of all batches, or of those numbered below ``before``; a compacted folder stands for the batches in it."""
+        fits = lambda n: before is None or n < before
+        base = max((n for n in self._done("compacted", "upto") if fits(n)), default=-1)
+        paths = [f"{self.path}/compacted/upto={base}"] if base >= 0 else []
+        paths += [f"{self.path}/shards/batch={n}" for n in self._done("shards", "batch") if n > base and fits(n)]
+        return self.spark.read.schema(_SHARD).parquet(*paths) if paths else None
+
+    def add(self, batch: DataFrame, number: int, exact: bool = False) -> DataFrame:
+        """``a, b, edits``: what of ``batch`` (id, text), the batch of this number, repeats a text of an earlier one or of its own;
+        adds the batch. Only the batch's texts are embedded; of earlier ones, candidates alone are read.
+
+        Of equal texts of the batch only the first is indexed and compared; the others repeat it with 0 edits.
+        """
         d = stage(batch.select(F.col("id").cast("long").alias("id"), "text").where("id IS NOT NULL AND trim(text) <> ''"), "batch")
-        rows = embed_texts(d, "id", "text").withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
-        old = self.shards()
-        seg = (old.agg(F.max("seg")).first()[0] or 0) + 1 if old is not None else 0
-        n = max(1, -(-d.count() // SHARD_ROWS))
-        rows = stage(rows.withColumn("seg", (F.lit(seg) + F.pmod(F.xxhash64("key"), F.lit(n))).cast("int")), "batch-vectors")
-        new = stage(build_shards(rows), "batch-shards")
-        pairs = stage(search_shards(rows, new if old is None else old.unionByName(new), later=True), "batch-candidates")
-        d.write.mode("append").parquet(f"{self.path}/texts")
-        new.write.mode("append").parquet(f"{self.path}/shards")
-        return rerank(pairs, self.spark.read.schema(d.schema).parquet(f"{self.path}/texts"), "id", "text")
+        rows = stage(embed_texts(d, "id", "text"), "batch-embedded")
+        first = rows.groupBy("same").agg(F.min("key").alias("first"))
+        equal = rows.join(first, "same").where("key > first").select(F.col("first").alias("a"), F.col("key").alias("b"), F.lit(0).cast("long").alias("edits")).distinct()
+        rows = rows.join(first, "same").where("key = first").dropDuplicates(["key", "same"]).drop("same", "first").withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
+        size = rows.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).alias("parts"))
+        rows = rows.join(size, "band").withColumn("seg", (F.lit(number) * 4096 + F.pmod(F.xxhash64("key"), F.col("parts"))).cast("int")).drop("parts")
+        rows = stage(rows, "batch-vectors")
+        old = self.shards(number)
+        keys = rows.select(F.col("key").alias("id"))
+        d.join(keys, "id", "left_semi").write.mode("overwrite").parquet(f"{self.path}/texts/batch={number}")
+        build_shards(rows).write.mode("overwrite").parquet(f"{self.path}/shards/batch={number}")
+        new = self.spark.read.schema(_SHARD).parquet(f"{self.path}/shards/batch={number}")
+        pairs = stage(search_shards(rows, new if old is None else old.unionByName(new), exact), "batch-candidates")
+        texts = self.spark.read.schema(d.schema).parquet(*[f"{self.path}/texts/batch={n}" for n in self._done("texts", "batch") if n <= number])
+        return rerank(pairs, texts, "id", "text").unionByName(equal)
 
     def compact(self) -> int:
-        """Merges, band by band, shards that together fit one; returns the number of shards left."""
+        """Merges, band by band, shards that together fit one, into a new folder; returns the number of shards left."""
         from pyspark.sql import Window
 
+        upto = max(self._done("shards", "batch"), default=None)
+        if upto is None:
+            return 0
         s = self.shards()
         size = (F.length("ids") / 8).cast("long")
         s = s.withColumn("into", F.floor((F.sum(size).over(Window.partitionBy("band").orderBy("seg")) - 1) / SHARD_ROWS).cast("int"))
@@ -399,12 +442,10 @@ class HistoryIndex:
             for b in batches:
                 for r in b.itertuples():
                     ids = np.frombuffer(r.ids, np.int64)
-                    cut = lambda b, w: [b[i * w : i * w + w] for i in range(len(ids))]  # noqa: E731, B023
-                    yield pd.DataFrame({"band": np.int32(r.band), "seg": np.int32(r.into), "key": ids, "n": np.frombuffer(r.sizes, np.int64), "vec": cut(bytes(r.vecs), 2 * DIMS), "bag": cut(bytes(r.bags), BAG)})
-
-        rows = s.select("band", "into", "ids", "sizes", "vecs", "bags").mapInPandas(unpack, "band int, seg int, key long, n long, vec binary, bag binary")
-        merged = stage(build_shards(rows), "compacted")
-        n = merged.count()
-        merged.write.mode("overwrite").parquet(f"{self.path}/shards")
-        discard(merged)
-        return n
+                    w = 2 * DIMS
+                    bags = [bytes(r.bags)[i * w : i * w + w] for i in range(len(ids))]
+                    yield pd.DataFrame({"band": np.int32(r.band), "seg": np.int32(r.into), "key": ids, "n": np.frombuffer(r.sizes, np.int64), "bag": bags})
+
+        rows = s.select("band", "into", "ids", "sizes", "bags").mapInPandas(unpack, "band int, seg int, key long, n long, bag binary")
+        build_shards(rows).write.mode("overwrite").parquet(f"{self.path}/compacted/upto={upto}")
+        return self.shards().count()

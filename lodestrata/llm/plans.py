@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import load, stage
+from ..session import load, shared_dir, stage
 from .boilerplate import main_content
 from .components import folded, group_by_shared_keys, says_something
-from .history import duplicates_of_history
+from .history import HistoryIndex, duplicates_of_history, first_repeated
 from .leakage import find_leaks, remove_leaks
 from .packing import pack, token_counts
 from .pii import find_pii, mask_pii
@@ -39,6 +41,21 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates_of_history(load(spark, sf_dir, "crawl_manifests"), load(spark, sf_dir, "documents"))
 
 
+def p4_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts only, through the index: each batch adds its shards and meets those of all before; compacted after every third."""
+    m = load(spark, sf_dir, "crawl_manifests").select(F.col("manifest_id").alias("id"), F.coalesce("batch_no", F.lit(0)).alias("batch_no"))
+    d = stage(load(spark, sf_dir, "documents").select(F.col("manifest_id").alias("id"), "text").join(m, "id"), "batched-texts")
+    index, out = HistoryIndex(spark, f"{shared_dir(spark)}/lodestrata/index-{uuid.uuid4().hex}"), None
+    for (no,) in d.select("batch_no").distinct().orderBy("batch_no").collect():
+        x = index.add(d.where(F.col("batch_no") == no).drop("batch_no"), no)
+        x = stage(x, "batch-repeats")
+        out = x if out is None else out.unionByName(x)
+        if no % 3 == 2:
+            index.compact()
+    later = d.where("batch_no > 0").select("id").distinct()
+    return first_repeated(out).join(later, "id", "left_semi").select(F.col("kept").alias("kept_id"), F.col("id").alias("manifest_id"))
+
+
 def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(stage(token_counts(load(spark, sf_dir, "documents")), "token-counts"), load(spark, sf_dir, "pack_targets"))
 
@@ -59,7 +76,7 @@ def p10_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask_pii(load(spark, sf_dir, "documents"), load(spark, sf_dir, "papers"))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_current": p3_current, "p4_found": p4_found, "p8_packed": p8_packed, "p9_found": p9_found, "p9_cleaned": p9_cleaned, "p10_found": p10_found, "p10_masked": p10_masked}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_current": p3_current, "p4_found": p4_found, "p4_batches": p4_batches, "p8_packed": p8_packed, "p9_found": p9_found, "p9_cleaned": p9_cleaned, "p10_found": p10_found, "p10_masked": p10_masked}
 
 _SK = "regexp_replace(lower(trim({})), '[\\s_-]+', '', 'g')"
 ORACLES = {

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from lodestrata.llm.history import DIMS, HistoryIndex, beam_search, build_graph, duplicates_of_history, edit_words, tune_beam
+from lodestrata.llm.history import DIMS, LEAST, HistoryIndex, _vectors, beam_search, build_graph, duplicates_of_history, edit_words, tune_beam
 
 
 def _distance(a, b):
@@ -114,22 +114,71 @@ def test_duplicates_against_brute_force(spark):
     assert {r.manifest_id: r.kept_id for r in duplicates_of_history(m, d.limit(0)).collect()} == no_text
 
 
+def test_recurring_words_replaced_throughout(spark):
+    """One word of a recurring phrase is replaced wherever it stands: all of the edits hit the heaviest word."""
+    rng = random.Random(5)
+    man, docs = [], []
+    for k, n in enumerate((60, 120, 300) * 8):
+        w = [f"t{k}w{rng.randrange(n)}" for _ in range(n)]
+        for i in range(0, n - 1, 24):
+            w[i : i + 2] = ["solar", "panel"]
+        for j, v in enumerate((w, ["roof" if x == "panel" else x for x in w])):
+            man.append((2 * k + j, j, None, f"https://h.test/{2 * k + j}"))
+            docs.append((2 * k + j, " ".join(v)))
+    m = spark.createDataFrame(man, "manifest_id long, batch_no int, content_hash string, url string")
+    d = spark.createDataFrame(docs, "manifest_id long, text string")
+    want = {(2 * k, 2 * k + 1) for k in range(24)}
+    assert {tuple(r) for r in duplicates_of_history(m, d).collect()} == want
+    assert {tuple(r) for r in duplicates_of_history(m, d, exact=True).collect()} == want
+
+
+def test_cut_off_loses_no_pair():
+    """Random edits, up to one word in ten: the cosine of the counts' roots never falls under the cut-off."""
+    rng = random.Random(7)
+    for _ in range(300):
+        n = rng.randrange(10, 400)
+        words = [f"w{min(int(rng.paretovariate(0.7)), 500)}" for _ in range(n)]
+        heavy = max(set(words), key=words.count)
+        other, k = list(words), n // 10
+        for i in [i for i, x in enumerate(words) if x == heavy][:k] if rng.random() < 0.5 else rng.sample(range(n), k):
+            other[i] = rng.choice(["new", "roof", "w1"])
+        bags = np.stack([np.bincount([hash(x) % DIMS for x in v], minlength=DIMS) for v in (words, other)])
+        a, b = _vectors(bags)
+        assert a @ b >= LEAST
+
+
+def test_long_counts_are_compared_exhaustively(spark):
+    """Counts beyond what a vector holds: found all the same."""
+    w = ["a"] * 70_000 + [f"w{i}" for i in range(30)]
+    m = spark.createDataFrame([(1, 0, None, "https://h.test/1"), (2, 1, None, "https://h.test/2")], "manifest_id long, batch_no int, content_hash string, url string")
+    d = spark.createDataFrame([(1, " ".join(w)), (2, " ".join(w[:-20] + ["b"] * 400))], "manifest_id long, text string")
+    assert [tuple(r) for r in duplicates_of_history(m, d).collect()] == [(1, 2)]
+
+
 def test_index_over_batches(spark, tmp_path):
     rng = random.Random(8)
-    index, texts, found, want = HistoryIndex(spark, f"file://{tmp_path}/index"), {}, set(), set()
+    index, texts, found, want, copies = HistoryIndex(spark, f"file://{tmp_path}/index"), {}, set(), set(), set()
     for b in range(3):
         new = []
         for i in range(b * 60, b * 60 + 60):
             old = rng.choice(list(texts)) if texts and rng.random() < 0.4 else None
             w = _text(rng, rng.choice([15, 60, 61, 200])) if old is None else _edited(rng, texts[old], len(texts[old]) // 20)
-            for j, v in texts.items():
-                most = max(len(w), len(v)) // 10
-                if abs(len(w) - len(v)) <= most and _distance(w, v) <= most:
-                    want.add((j, i))
+            same = next((j for j in range(b * 60, i) if texts[j] == w), None)
+            if same is not None:  # a copy inside its batch repeats the first one, and is not indexed
+                want.add((same, i))
+                copies.add(i)
+            else:
+                for j, v in texts.items():
+                    most = max(len(w), len(v)) // 10
+                    if j not in copies and abs(len(w) - len(v)) <= most and _distance(w, v) <= most:
+                        want.add((j, i))
             texts[i] = w
             new.append((i, " ".join(w)))
-        found |= {(r.a, r.b) for r in index.add(spark.createDataFrame(new, "id long, text string")).collect()}
-        if b == 1:
+        df = spark.createDataFrame(new, "id long, text string")
+        got = {(r.a, r.b) for r in index.add(df, b).collect()}
+        if b == 1:  # a batch given again replaces itself; compaction leaves the older folders to readers
+            assert {(r.a, r.b) for r in index.add(df, b).collect()} == got
             before = index.shards().count()
             assert index.compact() < before
-    assert found == want and want
+        found |= got
+    assert found == want and want and copies
