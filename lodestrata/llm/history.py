@@ -154,12 +154,13 @@ def tune_beam(x: np.ndarray, links: np.ndarray, probe: int = 96, seed: int = 5)
     return 0
 
 
-def _few_edits(p: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """Whether word counts allow so few edits: one edit changes two counts by one at most. No pair is lost by it."""
-    out = np.empty(len(p), bool)
-    for s in range(0, len(p), 65536):
-        d = np.abs(p[s : s + 65536].astype(np.int32) - q[s : s + 65536]).sum(1)
-        out[s : s + 65536] = d <= 2 * most[s : s + 65536]
+def _few_edits(p: np.ndarray, i: np.ndarray, q: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether the word counts of rows i of p and j of q allow so few edits: one edit changes two counts by one at most. No pair
+    is lost by it."""
+    out = np.empty(len(i), bool)
+    for s in range(0, len(i), 32768):  # bounds the gathered rows
+        part = slice(s, s + 32768)
+        out[part] = np.abs(p[i[part]].astype(np.int32) - q[j[part]]).sum(1) <= 2 * most[part]
     return out
 
 
@@ -236,8 +237,8 @@ def search_shards(queries: DataFrame, shards: DataFrame, exact: bool = False) ->
         i, j = search(_vectors(rows), links, 0 if exact else int(r["beam"]), _vectors(mine), least).T
         a, b = v["key"].to_numpy(np.int64)[i], ids[j]
         longer = np.maximum(n[i], sizes[j])
-        keep = np.flatnonzero(a != b)
-        keep = keep[_few_edits(mine[i[keep]], rows[j[keep]], np.floor(longer[keep] * EDITS + 1e-9))]
+        keep = np.flatnonzero((a != b) & (np.abs(n[i] - sizes[j]) <= longer * EDITS + 1e-9))
+        keep = keep[_few_edits(mine, i[keep], rows, j[keep], np.floor(longer[keep] * EDITS + 1e-9))]
         return pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
 
     by = ["band", "seg", "block"]
@@ -406,25 +407,29 @@ class HistoryIndex:
 
     def add(self, batch: DataFrame, number: int, exact: bool = False) -> DataFrame:
         """``a, b, edits``: what of ``batch`` (id, text), the batch of this number, repeats a text of an earlier one or of its own;
-        adds the batch. Only the batch's texts are embedded; of earlier ones, candidates alone are read.
+        adds the batch. Only the batch's texts are embedded; of earlier ones, candidates alone are read, and every one's identity.
 
-        Of equal texts of the batch only the first is indexed and compared; the others repeat it with 0 edits.
+        Equal texts are matched by identity, not by search: one that was there before, or comes first in the batch, stands for
+        them, and only it is indexed and compared; the others repeat it with 0 edits.
         """
         d = stage(batch.select(F.col("id").cast("long").alias("id"), "text").where("id IS NOT NULL AND trim(text) <> ''"), "batch")
         rows = stage(embed_texts(d, "id", "text"), "batch-embedded")
         first = rows.groupBy("same").agg(F.min("key").alias("first"))
-        equal = rows.join(first, "same").where("key > first").select(F.col("first").alias("a"), F.col("key").alias("b"), F.lit(0).cast("long").alias("edits")).distinct()
-        rows = rows.join(first, "same").where("key = first").dropDuplicates(["key", "same"]).drop("same", "first").withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
+        done = [n for n in self._done("texts", "batch") if n < number]
+        known = self.spark.read.schema("id long, text string, same binary").parquet(*[f"{self.path}/texts/batch={n}" for n in done]).select("same", F.col("id").alias("known")) if done else None
+        first = first.join(known, "same", "left").withColumn("first", F.coalesce("known", "first")) if known is not None else first.withColumn("known", F.lit(None).cast("long"))
+        first = stage(first, "batch-firsts")
+        equal = rows.join(first, "same").where("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b"), F.lit(0).cast("long").alias("edits")).distinct()
+        rows = rows.join(first.where("known IS NULL"), "same").where("key = first").dropDuplicates(["key", "same"]).drop("first", "known").withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
         size = rows.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).alias("parts"))
         rows = rows.join(size, "band").withColumn("seg", (F.lit(number) * 4096 + F.pmod(F.xxhash64("key"), F.col("parts"))).cast("int")).drop("parts")
         rows = stage(rows, "batch-vectors")
         old = self.shards(number)
-        keys = rows.select(F.col("key").alias("id"))
-        d.join(keys, "id", "left_semi").write.mode("overwrite").parquet(f"{self.path}/texts/batch={number}")
+        d.join(rows.select(F.col("key").alias("id"), "same"), "id").select("id", "text", "same").write.mode("overwrite").parquet(f"{self.path}/texts/batch={number}")
         build_shards(rows).write.mode("overwrite").parquet(f"{self.path}/shards/batch={number}")
         new = self.spark.read.schema(_SHARD).parquet(f"{self.path}/shards/batch={number}")
         pairs = stage(search_shards(rows, new if old is None else old.unionByName(new), exact), "batch-candidates")
-        texts = self.spark.read.schema(d.schema).parquet(*[f"{self.path}/texts/batch={n}" for n in self._done("texts", "batch") if n <= number])
+        texts = self.spark.read.schema(d.schema).parquet(*[f"{self.path}/texts/batch={n}" for n in [*done, number]])
         return rerank(pairs, texts, "id", "text").unionByName(equal)
 
     def compact(self) -> int:
