@@ -47,6 +47,24 @@ _MASKED = f"""
       a -> named_struct('out', a.out, 'lits', a.lits))"""
 
 
+#: Texts that hold the placeholders' own characters: these are written with an escape meanwhile.
+_ESCAPES = (("\ue002", "a"), ("\ue000", "b"), ("\ue001", "c"))
+
+
+def _escaped(x: str) -> str:
+    out = x
+    for c, mark in _ESCAPES:
+        out = f"replace({out}, '{c}', '\ue002{mark}')"
+    return f"CASE WHEN {x} RLIKE '[\ue000-\ue002]' THEN {out} ELSE {x} END"
+
+
+def _unescaped(x: str) -> str:
+    out = x
+    for c, mark in reversed(_ESCAPES):
+        out = f"replace({out}, '\ue002{mark}', '{c}')"
+    return f"CASE WHEN contains({x}, '\ue002') THEN {out} ELSE {x} END"
+
+
 def _cut(m: str, conjunction: str) -> str:
     """SQL: array of the raw items of the masked text ``m``."""
     parts = f"split({m}, ',')"
@@ -84,14 +102,14 @@ def unpack(df: DataFrame, keys: list[str], column: str, conjunction: str = "neve
     Defined cases: a null, blank or list-mark-only field gives no row; repeated input rows give repeated output rows; an
     unbalanced quote is ordinary text; a broken JSON list is read as ordinary text; an empty table gives an empty table; other
     columns of ``df`` are ignored, so their names cannot clash; ``pos``/``item`` may not be among the keys (ValueError).
-    Length of the text is not bounded: the fold is linear in its pieces.
+    Length of the text is not bounded; texts may hold any character, the placeholders' own included.
     """
     if conjunction not in CONJUNCTIONS:
         raise ValueError(f"conjunction must be one of {CONJUNCTIONS}")
     if {pos.lower(), item.lower()} & {k.lower() for k in keys} or pos.lower() == item.lower():
         raise ValueError("pos and item need names that no key has")
     keep = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
-    d = df.select(*keep, F.expr(_trim(f"cast(`{column}` AS string)")).alias("__t")).where("__t <> ''")
+    d = df.select(*keep, F.expr(_trim(f"cast(`{column}` AS string)")).alias("__t")).where("__t <> ''").withColumn("__t", F.expr(_escaped("__t")))
     plain = "named_struct('out', __t, 'lits', cast(array() AS array<string>))"
     quote = r"""CASE WHEN __t RLIKE "^'[\\s\\S]*'$" THEN "'" WHEN __t RLIKE '(^|[,;|\\t\\r\\n•·*‣▪]|\\s/|\\d[.)])\\s*"' THEN '"' END"""
     masked = _let(quote, "q", f"CASE WHEN q IS NULL THEN {plain} ELSE {_let('split(__t, q)', 'ps', _MASKED)} END")
@@ -103,6 +121,6 @@ def unpack(df: DataFrame, keys: list[str], column: str, conjunction: str = "neve
     read = "CASE WHEN __t RLIKE '^\\\\[[\\\\s\\\\S]*\\\\]$' THEN from_json(__t, 'array<string>') END"
     values = _let(read, "j", f"CASE WHEN j IS NOT NULL THEN transform(j, x -> {_trim('x')}) ELSE {text} END")
     enough = _let(f"filter({values}, x -> x <> '')", "v", f"CASE WHEN size(v) >= {int(least)} THEN v END")
-    return d.select(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)], F.posexplode(F.expr(enough)).alias("__p", item)).select(
-        *[f"`{k}`" for k in keys], (F.col("__p") + 1).alias(pos), item
+    return d.select(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)], F.posexplode(F.expr(enough)).alias("__p", "__x")).select(
+        *[f"`{k}`" for k in keys], (F.col("__p") + 1).alias(pos), F.expr(_unescaped("__x")).alias(item)
     )

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import json
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 # Words that make a feed entry worth following.
 STARTUP_WORDS = r"startup|ai |raises|funding|launch"
@@ -54,39 +50,15 @@ def discover(urls: DataFrame, seen: DataFrame | None, url: str = "url", source:
     return d.withColumn("correlation_id", F.expr("uuid()"))
 
 
-class _Page(InputPartition):
-    def __init__(self, offset: int):
-        self.offset = offset
-
-
-class _Pages(DataSourceReader):
-    def __init__(self, options: dict):
-        self.folder, self.batch, self.ceiling, self.start = options["path"], int(options.get("batch", 100)), int(options.get("ceiling", 10_000)), int(options.get("start", 0))
-
-    def partitions(self):
-        return [_Page(o) for o in range(self.start, self.ceiling, self.batch) if Path(self.folder, f"page-{o}.json").exists()]
-
-    def read(self, partition):
-        for pos, x in enumerate(json.loads(Path(self.folder, f"page-{partition.offset}.json").read_text())):
-            yield partition.offset, pos, json.dumps(x)
-
+def paged_listing(spark: SparkSession, path: str, start: int = 0, ceiling: int = 10_000) -> DataFrame:
+    """``offset, pos, item``: the items of saved answers ``page-<offset>.json`` of a paged API, on any file system Spark reads.
 
-class PagedListing(DataSource):
-    """``spark.read.format("paged_listing")``: saved answers ``page-<offset>.json`` of a paged API, one partition an offset."""
-
-    @classmethod
-    def name(cls):
-        return "paged_listing"
-
-    def schema(self):
-        return "offset int, pos int, item string"
-
-    def reader(self, schema):
-        return _Pages(self.options)
-
-
-def register(spark: SparkSession) -> None:
-    spark.dataSource.register(PagedListing)
+    ``ceiling`` is the API's own end of offsets. An answer is one JSON array; one that is none gives no row.
+    """
+    d = spark.read.option("pathGlobFilter", "page-*.json").text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"page-(\d+)\.json$", 1).cast("int").alias("offset"), "value")
+    d = d.where(F.col("offset").between(start, ceiling - 1))
+    items = F.expr("try_cast(try_parse_json(value) AS array<variant>)")
+    return d.select("offset", F.posexplode(items).alias("pos", "x")).select("offset", "pos", F.to_json("x").alias("item"))
 
 
 def top_per_page(df: DataFrame, page: str, order: str, n: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,18 +93,53 @@ def dead_letters(stream: DataFrame, max_attempts: str = "max_attempts") -> DataF
 
 
 def upsert_batches(stream: DataFrame, path: str, key: str, order: list[str], checkpoint: str):
-    """Starts an upsert into a versioned table: every micro-batch writes version <batch id>, so a repeated batch changes nothing."""
+    """Starts an upsert into a table of deltas: every micro-batch writes the last rows of its own keys, nothing else is rewritten.
+
+    A micro-batch writes the folder of its query and number, so one that is repeated after a failure replaces itself; a query
+    with a new checkpoint adds to what is there. :func:`read_upserts` gives the table, :func:`compact_upserts` merges deltas.
+    """
     from ..operators.upserts import last_rows
 
     def merge(df: DataFrame, batch: int) -> None:
-        spark = df.sparkSession
-        fs, old = _fs(spark, f"{path}/v={batch - 1}")
-        rows = df if batch == 0 or not fs.exists(old) else spark.read.schema(df.schema).parquet(f"{path}/v={batch - 1}").unionByName(df)
-        last_rows(rows, [key], order).write.mode("overwrite").parquet(f"{path}/v={batch}")
+        run = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "query"
+        last_rows(df, [key], order).write.mode("overwrite").parquet(f"{path}/deltas/run={run}/batch={batch}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _parts(spark: SparkSession, path: str, key: str) -> list[str]:
+    """Complete folders ``path/.../key=...``."""
+    fs, p = _fs(spark, f"{path}/{key}=*/_SUCCESS")
+    return sorted(f.getPath().getParent().toString() for f in fs.globStatus(p) or [])
+
+
+def _upsert_parts(spark: SparkSession, path: str) -> tuple[str | None, list[str]]:
+    """The last compacted table and the deltas that are not in it."""
+    base = max(_parts(spark, f"{path}/compacted", "v"), key=lambda x: int(x.rsplit("=", 1)[1]), default=None)
+    merged = {r[0] for r in spark.read.text(base.replace("/compacted/v=", "/compacted/parts-")).collect()} if base else set()
+    return base, [x for x in _parts(spark, f"{path}/deltas/run=*", "batch") if x.split("/deltas/")[1] not in merged]
+
+
+def read_upserts(spark: SparkSession, path: str, schema, key: str, order: list[str]) -> DataFrame:
+    """The table that :func:`upsert_batches` wrote: the last row of every key over all deltas."""
+    from ..operators.upserts import last_rows
+
+    base, deltas = _upsert_parts(spark, path)
+    parts = [base, *deltas] if base else deltas
+    return last_rows(spark.read.schema(schema).parquet(*parts), [key], order) if parts else spark.createDataFrame([], schema)
+
+
+def compact_upserts(spark: SparkSession, path: str, schema, key: str, order: list[str]) -> None:
+    """Merges all deltas into a new table, named after what it holds before it counts; older parts stay for running readers."""
+    base, deltas = _upsert_parts(spark, path)
+    if deltas:
+        v = int(base.rsplit("=", 1)[1]) + 1 if base else 0
+        old = [r[0] for r in spark.read.text(base.replace("/compacted/v=", "/compacted/parts-")).collect()] if base else []
+        names = spark.createDataFrame([(x.split("/deltas/")[1],) for x in deltas] + [(x,) for x in old], "value string")
+        names.coalesce(1).write.mode("overwrite").text(f"{path}/compacted/parts-{v}")
+        read_upserts(spark, path, schema, key, order).write.mode("overwrite").parquet(f"{path}/compacted/v={v}")
+
+
 def breaker_steps(calls, state=("CLOSED", 0, 0, 0), failures: int = 5, open_us: int = 60_000_000, probes: int = 2):
     """Runs (time in microseconds, ok) calls through a breaker; yields (time, state before, admitted) and returns the last state.
 
@@ -128,13 +164,19 @@ def breaker_steps(calls, state=("CLOSED", 0, 0, 0), failures: int = 5, open_us:
 
 
 def circuit_breaker(stream: DataFrame, key: str, ts: str, ok: str, failures: int = 5, open_us: int = 60_000_000) -> DataFrame:
-    """``key, at_us, state, admitted`` of every call, with the breaker of each key kept as state between micro-batches."""
+    """``key, at_us, state, admitted`` of every call, with the breaker of each key kept as state between micro-batches.
+
+    A breaker is one sequence of calls, so the calls of one key in one micro-batch are one task's; ``read_stream(files=...)``
+    bounds a micro-batch. Calls are held as two plain arrays, not as frames.
+    """
     d = stream.select(F.col(key).alias("k"), F.unix_micros(F.col(ts).cast("timestamp")).alias("at"), F.col(ok).alias("ok")).where("k IS NOT NULL AND at IS NOT NULL")
 
     def run(k, frames, state):
         now = state.get if state.exists else ("CLOSED", 0, 0, 0)
-        calls = pd.concat(list(frames)).sort_values(["at", "ok"])
-        steps, out = breaker_steps(zip(calls["at"].tolist(), calls["ok"].tolist(), strict=True), tuple(now), failures, open_us), []
+        parts = [(f["at"].to_numpy(np.int64), f["ok"].to_numpy(bool)) for f in frames]
+        at, fine = (np.concatenate(x) for x in zip(*parts, strict=True))
+        by = np.lexsort((fine, at))
+        steps, out = breaker_steps(zip(at[by].tolist(), fine[by].tolist(), strict=True), tuple(now), failures, open_us), []
         while True:
             try:
                 out.append(next(steps))

@@ -30,6 +30,7 @@ PACKED = [
     (None, None),
     ("[broken; x", ["[broken", "x"]),
     ('x; "open', ["x", '"open']),
+    ('a\ue0000\ue001b; "c; d"; \ue002a\ue000; \ue002', ["a\ue0000\ue001b", "c; d", "\ue002a\ue000", "\ue002"]),
     ("; ".join(["v" * 50] * 2000), ["v" * 50] * 2000),
 ]
 

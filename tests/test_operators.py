@@ -140,8 +140,7 @@ def test_listings(spark, tmp_path):
     assert [tuple(r) for r in listings.json_urls(js, "id", "p").collect()] == [(1, "u1")]
     for off in (0, 100):
         (tmp_path / f"page-{off}.json").write_text(json.dumps([{"n": off}, {"n": off + 1}]))
-    listings.register(spark)
-    pages = spark.read.format("paged_listing").option("path", str(tmp_path)).option("batch", 100).load()
+    pages = listings.paged_listing(spark, f"file://{tmp_path}")
     assert {(r.offset, r.pos) for r in pages.collect()} == {(0, 0), (0, 1), (100, 0), (100, 1)}
     found = listings.discover(spark.createDataFrame([("https://A.test/x/", "s"), ("https://a.test/x", "s"), ("", "s"), ("https://a.test/y", "s")], "url string, source_name string"), spark.createDataFrame([("https://a.test/y", "s")], "url string, source_name string"))
     assert [r.url for r in found.collect()] == ["https://a.test/x"]
@@ -174,8 +173,15 @@ def test_streams(spark, tmp_path):
     assert {r.n for r in flows.drain(flows.window_counts(s(), "received_at", "source_name"), "t-win", "complete").collect()} == {60}
     assert flows.drain(flows.circuit_breaker(s(), "source_name", "received_at", "ok", 2, 1_000_000), "t-brk").count() == 60
     flows.upsert_batches(s().select("message_id", "entry_id", "url"), str(tmp_path / "table"), "message_id", ["entry_id"], str(tmp_path / "cp")).awaitTermination()
-    last = spark.read.parquet(str(tmp_path / "table" / "v=2"))
-    assert {r.entry_id for r in last.collect()} == set(range(53, 60))
+    table, three = f"file://{tmp_path}/table", "message_id string, entry_id long, url string"
+    assert flows.read_upserts(spark, f"file://{tmp_path}/none", three, "message_id", ["entry_id"]).count() == 0
+    for _ in range(2):
+        assert {r.entry_id for r in flows.read_upserts(spark, table, three, "message_id", ["entry_id"]).collect()} == set(range(53, 60))
+        flows.compact_upserts(spark, table, three, "message_id", ["entry_id"])
+    # a query with a new checkpoint adds to the table, and what is compacted stays
+    spark.createDataFrame([(rows[53][0] + 1000, *rows[53][1:])], schema).write.parquet(str(tmp_path / "more"))
+    flows.upsert_batches(flows.read_stream(spark, str(tmp_path / "more")).select("message_id", "entry_id", "url"), table, "message_id", ["entry_id"], str(tmp_path / "cp2")).awaitTermination()
+    assert {r.entry_id for r in flows.read_upserts(spark, table, three, "message_id", ["entry_id"]).collect()} == {1053, *range(54, 60)}
 
 
 def test_extraction(spark):
