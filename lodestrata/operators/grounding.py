@@ -222,3 +222,14 @@ def lineage_traces(votes: DataFrame, scored: DataFrame) -> DataFrame:
     d = scored.where("value IS NOT NULL").join(votes.select("entity_id", "field_name", "winner", "n"), ["entity_id", "field_name"])
     role = F.when(F.col("n") == 1, "single_source").when(normalized_value(F.col("value")) == normalized_value(F.col("winner")), "winner").otherwise("dissenter")
     return d.select("assertion_id", "entity_id", "field_name", role.alias("role"), F.round(F.col("g") * F.col("t") + TIES, 4).alias("quality"), (F.col("g") >= 0.6).alias("passed"))
+
+
+def contained(d: DataFrame) -> DataFrame:
+    """``d`` plus evidence_in_source and value_in_evidence: whether one text holds the other, blanks and case apart."""
+    return d.withColumn("evidence_in_source", F.contains(flat(F.col("source")), flat(F.col("evidence")))).withColumn("value_in_evidence", F.contains(F.lower("evidence"), F.lower("value")))
+
+
+def evidence_chain(d: DataFrame, keys: list[str], value: str = "value", evidence: str = "evidence_text", at: str = "fetched_at") -> DataFrame:
+    """``keys``, extracted_value and evidence_text, cut for the record, and verified_us: when it was read, if the evidence holds the value."""
+    ok = F.contains(F.lower(evidence), F.lower(value))
+    return d.select(*keys, F.substring(value, 1, 500).alias("extracted_value"), F.substring(evidence, 1, 1000).alias("evidence_text"), F.when(ok, F.unix_micros(F.col(at).cast("timestamp"))).alias("verified_us"))

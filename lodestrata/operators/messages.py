@@ -90,3 +90,16 @@ def throttle(df: DataFrame, key: str, at: str, order: str, rates: DataFrame | No
     cap = F.greatest(F.col("__rate"), F.lit(1.0))
     start = F.greatest(here, F.col("__p")) + (F.col("__o") + F.col("__j") + 1 - cap) / F.col("__rate")
     return d.withColumn("wait", F.coalesce(F.round(F.greatest(F.lit(0.0), start - F.col("__t")), 6), F.lit(0.0))).drop("__t", "__u", "__own", "__rate", "__j", "__o", "__p")
+
+
+def sliding_window(df: DataFrame, key: str, at: str, width_s: int = 60, most: int = 12) -> DataFrame:
+    """``df`` plus in_window, the requests of its key in the last ``width_s`` seconds (its own included), and admitted.
+
+    Requests are counted in blocks of the window's width, so a task orders one block and the one before it, never a whole key.
+    """
+    width = width_s * 1_000_000
+    d = df.withColumn("__t", F.unix_micros(F.col(at).cast("timestamp"))).withColumn("__b", F.floor(F.col("__t") / width)).withColumn("__own", F.lit(True))
+    both = d.unionByName(d.withColumn("__b", F.col("__b") + 1).withColumn("__own", F.lit(False)))
+    w = Window.partitionBy(key, "__b").orderBy("__t").rangeBetween(-width, 0)
+    out = both.withColumn("in_window", F.count(F.lit(1)).over(w)).where("__own").drop("__t", "__b", "__own")
+    return out.withColumn("admitted", F.col("in_window") <= most)

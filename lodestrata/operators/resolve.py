@@ -307,3 +307,19 @@ def edge_endpoints(edges: DataFrame, seeds: DataFrame, embed=None) -> DataFrame:
     x = edges.withColumn("a", key("source")).withColumn("b", key("target"))
     x = x.join(got.select(F.col("qid").alias("a"), F.col("canonical_id").alias("source_id")), "a", "left").join(got.select(F.col("qid").alias("b"), F.col("canonical_id").alias("target_id")), "b", "left")
     return x.drop("a", "b")
+
+
+# States of a review that still wait.
+WAITING = ("pending", "needs_review")
+
+
+def pending_reviews(items: DataFrame, record_type: str | None = None) -> DataFrame:
+    """Items that need a review, of one type if given."""
+    d = items.where("status = 'needs_review'")
+    return d if record_type is None else d.where(F.col("record_type") == record_type)
+
+
+def review_counts(items: DataFrame, by: str = "record_type") -> DataFrame:
+    """``by, total, pending, resolved``."""
+    waits = F.col("status").isin(*WAITING)
+    return items.groupBy(by).agg(F.count(F.lit(1)).alias("total"), F.count_if(waits).alias("pending"), F.count_if(~waits).alias("resolved"))

@@ -52,3 +52,23 @@ def running_budget(df: DataFrame, ts: str, tokens: Column, budget: float) -> Dat
 
     d = df.groupBy(F.to_date(ts).alias("day")).agg(F.sum(tokens).alias("used"))
     return d.withColumn("pct", F.round(F.col("used") / F.lit(budget) * 100, 4)).withColumn("level", budget_level(F.col("used"), budget))
+
+
+def new_in_batch(df: DataFrame, key: str, batch: str) -> DataFrame:
+    """Rows of later batches (``batch`` > 0) whose key no earlier batch has; null keys are never new."""
+    first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(batch).alias("__first"))
+    return df.join(first, key).where((F.col(batch) > 0) & (F.col(batch) == F.col("__first"))).drop("__first")
+
+
+def edges_at(edges: DataFrame, source: str, target: str, at_source=None, at_target=None) -> DataFrame:
+    """Edges with the given source or the given target."""
+    hit = F.lit(False)
+    for c, v in ((source, at_source), (target, at_target)):
+        if v is not None:
+            hit = hit | F.coalesce(F.col(c) == F.lit(v), F.lit(False))
+    return edges.where(hit)
+
+
+def page(df: DataFrame, order: list[str], offset: int, size: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + size`` in order, nulls first: paging is the feature."""
+    return df.orderBy(*[F.asc_nulls_first(c) for c in order]).offset(offset).limit(size)

@@ -13,6 +13,7 @@ from ..operators import crawling as C
 from ..operators import export as X
 from ..operators import extraction as E
 from ..operators import grounding as G
+from ..operators import messages as M
 from ..operators import resolve as R
 from ..operators import scoring as S
 from ..operators import upserts as D
@@ -266,10 +267,9 @@ def exported_marks(spark, d):
     return D.mark_exported(x.select("record_id", "canonical_id", "exported_at"), done, "record_id").select("record_id", "canonical_id", F.unix_micros("exported_at").alias("exported_us"))
 
 
-@query("SELECT manifest_id FROM crawl_manifests WHERE batch_no = 1 AND content_hash IS NOT NULL AND content_hash NOT IN (SELECT content_hash FROM crawl_manifests WHERE batch_no = 0 AND content_hash IS NOT NULL)")
+@query("SELECT manifest_id FROM (SELECT manifest_id, batch_no, min(batch_no) OVER (PARTITION BY content_hash) AS f FROM crawl_manifests WHERE content_hash IS NOT NULL) WHERE batch_no > 0 AND batch_no = f")
 def content_unseen(spark, d):
-    x = load(spark, d, "crawl_manifests").where("content_hash IS NOT NULL")
-    return D.unseen(x.where("batch_no = 1"), x.where("batch_no = 0"), ["content_hash"]).select("manifest_id")
+    return D.new_in_batch(load(spark, d, "crawl_manifests"), "content_hash", "batch_no").select("manifest_id")
 
 
 @query("""SELECT cast(cast(timestamp_at AT TIME ZONE 'UTC' AS date) AS varchar) AS day, sum(cast(length(url) // 4 AS bigint))::bigint AS used, round(sum(length(url) // 4) / 20000.0 * 100, 3) AS pct,
@@ -282,11 +282,7 @@ def budget_daily(spark, d):
 
 @query("""SELECT event_id, cast(n AS bigint) AS in_window, n <= 12 AS admitted FROM (SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW) AS n FROM events)""")
 def rate_window(spark, d):
-    from pyspark.sql import Window
-
-    x = load(spark, d, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
-    w = Window.partitionBy("user_id").orderBy("us").rangeBetween(-60_000_000, 0)
-    return x.select("event_id", F.count(F.lit(1)).over(w).alias("in_window")).withColumn("admitted", F.col("in_window") <= 12)
+    return M.sliding_window(load(spark, d, "events"), "user_id", "ts").select("event_id", "in_window", "admitted")
 
 
 @query("""SELECT source_name, fetch_tier, count(*) AS fetches, count(*) FILTER (status_code >= 200 AND status_code < 400) AS ok, count(*) FILTER (status_code = 429) AS rate_limited, count(*) FILTER (status_code BETWEEN 500 AND 599) AS server_errors,
@@ -339,7 +335,7 @@ _NUMS = "list_filter(list_transform(regexp_extract_all(@, '" + G.NUMBER.replace(
 
 @query(f"WITH {_FIELDS_SQL} SELECT record_id, field_name, value, contains({_FLAT.format('source')}, {_FLAT.format('evidence')}) AS evidence_in_source, contains(lower(evidence), lower(value)) AS value_in_evidence FROM fl")
 def evidence_grounding_exact(spark, d):
-    return _fields(spark, d).select("record_id", "field_name", "value", F.contains(G.flat(F.col("source")), G.flat(F.col("evidence"))).alias("evidence_in_source"), F.contains(F.lower("evidence"), F.lower("value")).alias("value_in_evidence"))
+    return G.contained(_fields(spark, d)).select("record_id", "field_name", "value", "evidence_in_source", "value_in_evidence")
 
 
 @query(f"WITH {_FIELDS_SQL} SELECT record_id, field_name, round(len(list_filter(string_split(ef, ' '), lambda w: list_contains(sf, w))) / len(string_split(ef, ' ')), 6) AS overlap FROM (SELECT record_id, field_name, {_FLAT.format('evidence')} AS ef, string_split({_FLAT.format('source')}, ' ') AS sf FROM fl)")
@@ -488,13 +484,12 @@ def embedding_nearest(spark, d):
 
 @query("SELECT id, extracted_name, record_type FROM review_items WHERE status = 'needs_review'")
 def review_pending(spark, d):
-    return load(spark, d, "review_items").where("status = 'needs_review'").select("id", "extracted_name", "record_type")
+    return R.pending_reviews(load(spark, d, "review_items")).select("id", "extracted_name", "record_type")
 
 
 @query("SELECT record_type, count(*) AS total, count(*) FILTER (status IN ('pending', 'needs_review')) AS pending, count(*) FILTER (status NOT IN ('pending', 'needs_review')) AS resolved FROM review_items GROUP BY 1")
 def review_stats(spark, d):
-    s = F.col("status").isin("pending", "needs_review")
-    return load(spark, d, "review_items").groupBy("record_type").agg(F.count(F.lit(1)).alias("total"), F.count_if(s).alias("pending"), F.count_if(~s).alias("resolved"))
+    return R.review_counts(load(spark, d, "review_items"))
 
 
 @query("""SELECT entity_id AS canonical_id, round(c, 6) AS confidence, n AS source_count FROM (SELECT entity_id, max(llm_confidence) FILTER (NOT isnan(llm_confidence)) AS c, count(DISTINCT source_url) AS n FROM source_assertions GROUP BY 1) WHERE c >= 0.95 AND n >= 3""")
@@ -552,8 +547,7 @@ def edge_validity(spark, d):
 
 @query("SELECT assertion_id, entity_id, field_name, substr(value, 1, 500) AS extracted_value, substr(evidence_text, 1, 1000) AS evidence_text, CASE WHEN contains(lower(evidence_text), lower(value)) THEN epoch_us(fetched_at) END AS verified_us FROM source_assertions")
 def evidence_chain(spark, d):
-    ok = F.contains(F.lower("evidence_text"), F.lower("value"))
-    return load(spark, d, "source_assertions").select("assertion_id", "entity_id", "field_name", F.substring("value", 1, 500).alias("extracted_value"), F.substring("evidence_text", 1, 1000).alias("evidence_text"), F.when(ok, F.unix_micros("fetched_at")).alias("verified_us"))
+    return G.evidence_chain(load(spark, d, "source_assertions"), ["assertion_id", "entity_id", "field_name"])
 
 
 # ---- texts and pages ----------------------------------------------------------------------------------------------
@@ -632,7 +626,7 @@ def url_in_source(spark, d):
 @query("""SELECT record_id, entity_name FROM (SELECT record_id, entity_name, row_number() OVER (ORDER BY updated_at NULLS FIRST, record_id) AS r FROM startups WHERE verification_status IN ('grounded', 'partial')) WHERE r > 50 AND r <= 150""")
 def export_page(spark, d):
     """The export's second page: 100 rows in order of update; paging is the feature."""
-    return load(spark, d, "startups").where("verification_status IN ('grounded', 'partial')").orderBy(F.asc_nulls_first("updated_at"), "record_id").offset(50).limit(100).select("record_id", "entity_name")
+    return D.page(load(spark, d, "startups").where("verification_status IN ('grounded', 'partial')"), ["updated_at", "record_id"], 50, 100).select("record_id", "entity_name")
 
 
 @query("""SELECT canonical_id, company, source_url FROM jobs WHERE canonical_id = (SELECT min(canonical_id) FROM jobs) OR company = (SELECT min(company) FROM jobs WHERE company <> '')""")
@@ -640,7 +634,7 @@ def edges_of(spark, d):
     """Edges with a given source or target."""
     x = load(spark, d, "jobs")
     a, b = x.agg(F.min("canonical_id"), F.min(F.when(F.col("company") != "", F.col("company")))).first()
-    return x.where((F.col("canonical_id") == a) | (F.col("company") == b)).select("canonical_id", "company", "source_url")
+    return D.edges_at(x, "canonical_id", "company", a, b).select("canonical_id", "company", "source_url")
 
 
 @query(f"WITH {_VOTED} SELECT entity_id, array_to_string(list_sort(list(field_name || '=' || winner)), ';') AS winners, count(*) FILTER (contested) AS dissent FROM votes GROUP BY 1")
