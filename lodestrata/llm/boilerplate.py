@@ -176,6 +176,7 @@ def _in_order(signs: DataFrame) -> DataFrame:
     """``signs`` with ``g``, the place of each page among all in order of host, path and id, counted from 0 without gaps."""
     by = ["host", "path", "page_id", "body"]
     r = stage(signs.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("at", F.monotonically_increasing_id()), "pages-in-order")
+    discard(signs)
     return _numbered(r, "at", 33, "g")
 
 
@@ -256,9 +257,7 @@ def aligned(pages: DataFrame, page_id: str = "page_id", url: str = "url", payloa
         out = pd.DataFrame([x for x in rows if x["own"]], columns=[c.split()[0] for c in _ALIGNED.split(", ")])
         return out
 
-    out = stage(blocks.groupBy("block").applyInPandas(align, _ALIGNED), "pages-aligned")
-    discard(signs)
-    return out
+    return stage(blocks.groupBy("block").applyInPandas(align, _ALIGNED), "pages-aligned")
 
 
 def _choose(flags: list[int], votes: list[int], furniture: list) -> list[int]:
