@@ -153,3 +153,22 @@ def error_class(message: Column) -> Column:
 
 def prompt(template: Column, content: Column) -> Column:
     return F.replace(template, F.lit("{content}"), content)
+
+
+#: What a model is asked for, by record type; ``{content}`` is the page's text.
+PROMPTS = {
+    kind: f"Read the page below and answer with one JSON object about the {what} it describes. For each of {fields}: an object with value, evidence (a sentence of the page, word for word) and confidence (0 to 1); lists as lists of such "
+    "objects. Leave out what the page does not say. Put relations into relationships (source, target, type, evidence, confidence).\n\n{content}"
+    for kind, what, fields in (
+        ("STARTUP", "company", "description, foundedDate, founders, headquarters, industry, fundingTotal, employeeCount, website, investors, products"), ("PRODUCT", "product", "description, company, category, launchDate, pricing, features, platforms, website"),
+        ("PAPER", "paper", "title, abstract, authors, publishedDate, categories, citations"), ("JOB", "open position", "title, company, location, remotePolicy, employmentType, salaryMin, salaryMax, skills, postedDate"),
+        ("NEWS_SIGNAL", "news item", "title, summary, publishedDate, author, publisher, mentionedEntities, keyTopics"),
+    )
+}
+
+
+def prompts(record_type: Column, content: Column, templates: dict[str, str] | None = None) -> Column:
+    """The prompt of each record; a type without a template gets the one of companies."""
+    t = templates or PROMPTS
+    table = F.create_map(*[F.lit(x) for kv in t.items() for x in kv])
+    return prompt(F.coalesce(table[record_type], F.lit(t["STARTUP"])), F.coalesce(content, F.lit("")))

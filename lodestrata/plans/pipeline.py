@@ -329,6 +329,13 @@ def relative_dates(spark, d):
     return x.select("parsed_id", F.unix_micros(DT.relative_date(F.col("raw"), F.col("fetched_at"))).alias("utc_us")).where("utc_us IS NOT NULL")
 
 
+@query("SELECT doc_id, length(text) AS content, contains(text, '{content}') AS tricky FROM documents WHERE text IS NOT NULL")
+def prompt_texts(spark, d):
+    """Every text in the prompt of its type: what a prompt is longer by than its template is the text."""
+    x = load(spark, d, "documents").where("text IS NOT NULL").withColumn("p", E.prompts(F.col("record_type"), F.col("text"))).withColumn("bare", E.prompts(F.col("record_type"), F.lit("")))
+    return x.select("doc_id", (F.length("p") - F.length("bare")).alias("content"), F.contains(F.col("text"), F.lit("{content}")).alias("tricky"))
+
+
 # ---- reports and metrics ------------------------------------------------------------------------------------------
 
 

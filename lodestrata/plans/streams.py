@@ -55,11 +55,24 @@ def stream_export(spark, d):
     return spark.read.schema(x.schema).parquet(f"{base}/out")
 
 
-QUERIES = {f.__name__: f for f in (stream_dedup, stream_window_counts, stream_dead_letters, stream_circuit_breaker, stream_url_dedup, stream_content_dedup, stream_retries, stream_export)}
+def stream_topology(spark, d):
+    """Discovery, fetch and extraction as three chained streams: good messages, met with the manifests that answered them, as rows to resolve."""
+    m = spark.read.parquet(f"{d}/crawl_manifests.parquet").where("correlation_id IS NOT NULL AND status_code BETWEEN 200 AND 399").select("correlation_id", "manifest_id")
+    steps = {
+        "discovered": lambda x: flows.dead_letters(x).where("error IS NULL").select("entry_id", "correlation_id", "record_type"),
+        "fetched": lambda x: x.join(m, "correlation_id"),
+        "extracted": lambda x: x.where("record_type IS NOT NULL").select("entry_id", "manifest_id", F.lower("record_type").alias("kind")),
+    }
+    return flows.chain(flows.read_stream(spark, f"{d}/queue_messages.parquet"), steps, flows.own_folder(spark, "stream-topology"))["extracted"]
+
+
+QUERIES = {f.__name__: f for f in (stream_dedup, stream_window_counts, stream_dead_letters, stream_circuit_breaker, stream_url_dedup, stream_content_dedup, stream_retries, stream_export, stream_topology)}
 ORACLES = {
     "stream_url_dedup": "SELECT DISTINCT lower(trim(url)) AS dup_key, source_name, cast(cast(fetched_at AT TIME ZONE 'UTC' AS date) AS varchar) AS day FROM crawl_manifests WHERE source_name IS NOT NULL AND url IS NOT NULL AND fetched_at IS NOT NULL",
     "stream_content_dedup": "SELECT DISTINCT content_hash, source_name FROM crawl_manifests WHERE source_name IS NOT NULL AND content_hash IS NOT NULL",
     "stream_retries": """SELECT entry_id, coalesce(attempt, 0) + f AS attempt, CASE WHEN f = 0 THEN 'done' WHEN coalesce(attempt, 0) + f < 3 THEN 'retry' ELSE 'dead' END AS part FROM (SELECT *, CASE WHEN url IS NULL OR length(url) % 3 = 0 THEN 1 ELSE 0 END AS f FROM queue_messages)""",
+    "stream_topology": f"""SELECT entry_id, manifest_id, lower(record_type) AS kind FROM queue_messages q JOIN crawl_manifests m ON m.correlation_id = q.correlation_id AND m.status_code BETWEEN 200 AND 399
+      WHERE NOT (message_id IS NULL OR {_KEY} = '' OR coalesce(trim(q.url), '') = '' OR coalesce(attempt >= max_attempts, false)) AND record_type IS NOT NULL""",
     "stream_export": "SELECT record_id, title FROM jobs WHERE verification_status = 'grounded'",
     "stream_dedup": f"SELECT DISTINCT uid FROM (SELECT {_KEY} AS uid FROM queue_messages WHERE message_id IS NOT NULL AND received_at IS NOT NULL) WHERE uid <> ''",
     "stream_window_counts": "SELECT epoch_us(date_trunc('hour', ts)) AS start_us, event_type, count(*) AS n FROM events GROUP BY 1, 2",

@@ -79,6 +79,21 @@ def export_every(stream: DataFrame, path: str, checkpoint: str, minutes: int | N
     return (w.trigger(availableNow=True) if minutes is None else w.trigger(processingTime=f"{minutes} minutes")).start()
 
 
+def chain(stream: DataFrame, steps: dict, path: str) -> dict[str, DataFrame]:
+    """Runs a topology of streams: every step (name: function of a stream) is a query of its own, with its own checkpoint, that
+    writes Parquet to ``path/<name>`` and is read as a stream by the next. Returns the tables by name.
+
+    A step that fails is taken up where its checkpoint stands; the file sink writes every row once.
+    """
+    out, spark = {}, stream.sparkSession
+    for name, step in steps.items():
+        d = step(stream)
+        d.writeStream.format("parquet").option("path", f"{path}/{name}").option("checkpointLocation", f"{path}/_checkpoints/{name}").trigger(availableNow=True).start().awaitTermination()
+        out[name] = spark.read.schema(d.schema).parquet(f"{path}/{name}")
+        stream = spark.readStream.schema(d.schema).parquet(f"{path}/{name}")
+    return out
+
+
 def window_counts(stream: DataFrame, ts: str, key: str, width: str = "1 hour", delay: str = "1 day") -> DataFrame:
     d = stream.withColumn("at", F.col(ts).cast("timestamp")).withWatermark("at", delay)
     return d.groupBy(F.window("at", width).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(F.unix_micros("w.start").alias("start_us"), key, "n")

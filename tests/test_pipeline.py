@@ -131,6 +131,12 @@ def test_answers_and_dates(spark):
     assert {r.x: r.r and (r.r.confidence, str(r.r.value)) for r in d.select("x", "r").collect()} == {**cases, None: None}
 
 
+def test_prompts(spark):
+    d = spark.createDataFrame([("PAPER", "x {content} y"), ("OTHER", None), (None, "z")], "k string, t string").select(E.prompts(F.col("k"), F.col("t")).alias("p"))
+    got = [r.p for r in d.collect()]
+    assert got[0].endswith("\n\nx {content} y") and "paper" in got[0] and got[1].endswith("\n\n") and "company" in got[1] and got[2].endswith("\n\nz")
+
+
 def test_observed(spark, tmp_path):
     x, o = RP.observed(spark.range(10), "ten", rows=F.count(F.lit(1)), top=F.max("id"))
     x.write.parquet(f"file://{tmp_path}/x")
