@@ -174,6 +174,8 @@ def group_links(pairs: DataFrame, left: str = "src", right: str = "dst", id_col:
     for log in logs[1:]:
         labels = labels.unionAll(log)
     labels = _roots(labels, len(logs))
+    for log in logs:
+        discard(log)
     low = labels.groupBy("parent").agg(F.min("u").alias("m")).select(F.col("parent"), F.least("parent", "m").alias("g"))
     members = labels.join(low, "parent").select(F.col("u").alias(id_col), F.col("g").alias(group_col))
     roots = low.select(F.col("parent").alias(id_col), F.col("g").alias(group_col))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import normalize_url
-from ..session import path_exists, stage
+from ..session import discard, path_exists, stage
 
 #: Classes that words are hashed into.
 DIMS = 128
@@ -346,6 +346,8 @@ def similar_texts(docs: DataFrame, batches: DataFrame, exact: bool = False) -> D
     rows = stage(segments(rows.select("key", "n", "bag", "batch_no", "newest")), "vectors")
     shards = stage(build_shards(rows), "shards")
     pairs = stage(search_shards(rows.where("newest > 0"), shards, exact), "candidates")
+    discard(shards)
+    discard(rows)
     near = rerank(pairs, docs, "id", "text").groupBy(F.col("b").alias("first")).agg(F.min("a").alias("near"))
     best = cls.where("newest > 0").join(near, "first", "left").select("same", F.coalesce("near", "first").alias("kept"))
     return m.where("batch_no > 0").join(best, "same").where("kept < id").select("id", "kept")
