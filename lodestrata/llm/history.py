@@ -1,11 +1,12 @@
 """Deduplicating new batches against all history.
 
-Hashes and addresses are matched by aggregation. Texts are matched through graph index shards: every text becomes a short
-vector, the square roots of its hashed word counts; vectors are kept in shards by length band and arrival segment, and each
-shard is a navigable small-world graph (nearest neighbours plus random long links). The beam of a shard is widened until it
-finds what exhaustive search finds on a probe of the shard's own rows; where no beam does, the shard is searched exhaustively.
-Candidates are reranked exactly, by the number of words to be added, removed or replaced. A batch adds a shard a band;
-small shards are compacted into one.
+Hashes and addresses are matched by aggregation. Texts become short vectors, the square roots of their hashed word counts.
+Over a whole table (``duplicates_of_history``) they are compared in tiles of the texts whose lengths allow it, exhaustively: at
+these sizes a matrix product costs less than a walk through a graph, and loses nothing. Batch by batch (``HistoryIndex``) they
+are matched through graph index shards by length band and arrival: each shard is a navigable small-world graph (nearest
+neighbours plus random long links). The beam of a shard is widened until it finds what exhaustive search finds on a probe of the
+shard's own rows; where no beam does, the shard is searched exhaustively. A batch adds a shard a band; small shards are compacted
+into one. Candidates are reranked exactly, by the number of words to be added, removed or replaced.
 
 The cut-off of the search loses no pair: k edits leave at least max(n, m) - k words in common, hashing words together and
 taking square roots never lower the overlap, so the cosine of two texts of n and m words is at least
@@ -35,6 +36,10 @@ LEAST = 1 - EDITS - 2e-3
 MOST_WORDS = 65_535
 #: Texts of one length band differ in length by less than this factor.
 BAND = 1.25
+#: Tiles: texts of one strip differ in length by less than this factor; word counts of a side of a tile; rows that are multiplied at once.
+STRIP, TILE, STEP = 1.05, 1 << 22, 512
+#: Classes that the words of a text of a tile are hashed into, by the least number of words.
+WIDTHS = ((0, 64), (100, 128), (200, 256), (400, 512), (800, 1024))
 
 
 def _slices(batch: pd.DataFrame, text: str, most: int = 4 << 20):
@@ -44,8 +49,13 @@ def _slices(batch: pd.DataFrame, text: str, most: int = 4 << 20):
         yield batch[part == s]
 
 
-def embed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, same, n, bag``: identity (hash of the words), number of words and hashed word counts of each text.
+def _width(n: np.ndarray) -> np.ndarray:
+    return np.array([w for _, w in WIDTHS], np.int64)[np.searchsorted([x for x, _ in WIDTHS], n, "right") - 1]
+
+
+def embed_texts(docs: DataFrame, key: str, text: str, tiles: bool = False) -> DataFrame:
+    """``key, same, n, bag``: identity (hash of the words), number of words and hashed word counts of each text, ``DIMS`` of them or,
+    for ``tiles``, as many as ``WIDTHS`` has for its length.
 
     Whole texts in one narrow pass; words are what white space separates. Texts without words give no row.
     """
@@ -60,11 +70,13 @@ def embed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
                 continue
             h = pd.util.hash_array(flat, categorize=True)
             doc = np.repeat(np.arange(len(b)), n)
-            bag = np.bincount(doc * DIMS + (h >> np.uint64(64 - DIMS.bit_length() + 1)).astype(np.int64), minlength=len(b) * DIMS).reshape(len(b), DIMS)
-            bag = np.minimum(bag, 65535).astype(np.uint16)
+            width = _width(n) if tiles else np.full(len(b), DIMS)
+            end = np.cumsum(width)
+            place = (end - width)[doc] + (h >> (64 - np.log2(width).astype(np.uint64))[doc]).astype(np.int64)
+            bag = np.minimum(np.bincount(place, minlength=end[-1]), 65535).astype(np.uint16)
             ident = [hashlib.blake2b(" ".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest() for w in words]
             keep = np.flatnonzero(n)
-            yield pd.DataFrame({"key": b["key"].to_numpy()[keep], "same": [ident[i] for i in keep], "n": n[keep], "bag": [bag[i].tobytes() for i in keep]})
+            yield pd.DataFrame({"key": b["key"].to_numpy()[keep], "same": [ident[i] for i in keep], "n": n[keep], "bag": [bag[end[i] - width[i] : end[i]].tobytes() for i in keep]})
 
     return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).where("key IS NOT NULL AND t IS NOT NULL").mapInPandas(run, "key long, same binary, n long, bag binary")
 
@@ -211,19 +223,17 @@ def build_shards(rows: DataFrame) -> DataFrame:
 
 
 def search_shards(queries: DataFrame, shards: DataFrame, exact: bool = False) -> DataFrame:
-    """``a, b``: candidate pairs (a < b) of the queries (key, n, bag, and ``upto``, the last segment they look into; all without it)
-    and the shards' rows.
+    """``a, b``: candidate pairs (a < b) of the queries (key, n, bag) and the shards' rows.
 
     A query visits the bands that a text with at most one word in ten changed can be in. Queries go in blocks; the shard's row
     is copied once a block. ``exact`` searches every shard exhaustively: no pair is lost.
     """
     band = lambda n: F.floor(F.log(n) / F.log(F.lit(BAND))).cast("int")
-    upto = F.col("upto") if "upto" in queries.columns else F.lit(2**31 - 1)
-    q = queries.select("key", "n", "bag", upto.alias("upto"), F.explode(F.sequence(band(F.col("n") * (1 - EDITS)), band(F.col("n") / (1 - EDITS)))).alias("band"))
+    q = queries.select("key", "n", "bag", F.explode(F.sequence(band(F.col("n") * (1 - EDITS)), band(F.col("n") / (1 - EDITS)))).alias("band"))
     where = shards.select("band", F.col("seg").alias("s"))
     blocks = q.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     q = q.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    visits = q.join(where, "band").where("s <= upto").select("band", F.col("s").alias("seg"), "block", "key", "n", "bag")
+    visits = q.join(where, "band").select("band", F.col("s").alias("seg"), "block", "key", "n", "bag")
     copies = shards.join(blocks, "band").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).drop("blocks")
 
     def visit(keys, s: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
@@ -245,19 +255,84 @@ def search_shards(queries: DataFrame, shards: DataFrame, exact: bool = False) ->
     return copies.groupBy(*by).cogroup(visits.groupBy(*by)).applyInPandas(visit, "a long, b long").distinct()
 
 
-def segments(rows: DataFrame, batch: str = "batch_no") -> DataFrame:
-    """``rows`` with band, seg and ``upto``, the last segment of their own batch: batches in order of arrival, compacted to shards of
-    at most about SHARD_ROWS rows a band."""
-    from pyspark.sql import Window
+# ---- tiles of a table ---------------------------------------------------------------------------------------------
+
+
+def _folded(bags: np.ndarray, width: int) -> np.ndarray:
+    """Word counts of fewer classes, from those of more."""
+    return bags if bags.shape[1] == width else np.minimum(bags.reshape(len(bags), width, -1).sum(2, dtype=np.int64), 65535).astype(np.uint16)
+
+
+def _least_common(n: np.ndarray) -> np.ndarray:
+    """Words that a text of n words has in common with any shorter one that it may repeat, less what rounding takes; it never falls as n grows."""
+    return np.where(n > MOST_WORDS, -1.0, (n - np.floor(n * EDITS + 1e-9)) * (1 - 1e-4)).astype(np.float32)
+
+
+def match_tile(key: np.ndarray, n: np.ndarray, bags: np.ndarray, of: np.ndarray, m: np.ndarray, rows: np.ndarray, exact: bool = False) -> np.ndarray:
+    """(query, row) of all pairs whose row has the smaller key and whose lengths and word counts allow so few edits. No pair is lost.
 
-    d = rows.withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
-    c = d.groupBy("band", batch).count()
-    before = F.coalesce(F.sum("count").over(Window.partitionBy("band").orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    c = c.withColumn("first", F.floor(before / SHARD_ROWS).cast("int")).withColumn("parts", F.ceil(F.col("count") / SHARD_ROWS).cast("int"))
-    # a batch larger than a shard is cut by key; the next batch starts after its last part
-    jump = F.coalesce(F.sum(F.col("parts") - 1).over(Window.partitionBy("band").orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    c = c.withColumn("from", (F.col("first") + jump).cast("int")).select("band", batch, "from", "parts")
-    return d.join(c, ["band", batch]).withColumn("seg", (F.col("from") + F.pmod(F.xxhash64("key"), F.col("parts"))).cast("int")).withColumn("upto", (F.col("from") + F.col("parts") - 1).cast("int")).drop("from", "parts")
+    The product of the counts' roots is at least the number of common words. ``exact`` does without this bound.
+    """
+    width = min(bags.shape[1], rows.shape[1])
+    i_at, j_at = np.argsort(n, kind="stable"), np.argsort(m, kind="stable")
+    key, n, bags, of, m, rows = key[i_at], n[i_at], _folded(bags[i_at], width), of[j_at], m[j_at], _folded(rows[j_at], width)
+    q, x = np.sqrt(bags.astype(np.float32)), np.sqrt(rows.astype(np.float32))
+    out = [np.empty((0, 2), np.int64)]
+    for s in range(0, len(n), STEP):
+        mine = n[s : s + STEP]
+        first, last = np.searchsorted(m, mine[0] * (1 - EDITS) - 1e-6), np.searchsorted(m, mine[-1] / (1 - EDITS) + 1e-6, "right")
+        for t in range(first, last, STEP):
+            z = min(t + STEP, last)
+            sim = q[s : s + STEP] @ x[t:z].T
+            least = _least_common(np.maximum(mine, m[t])) if not exact and m[z - 1] <= MOST_WORDS else np.full(len(mine), -1, np.float32)
+            some = np.flatnonzero(sim.max(1) >= least)
+            if not len(some):
+                continue
+            i, j = np.nonzero(sim[some] >= least[some, None])
+            i, j = s + some[i], t + j
+            longer = np.maximum(n[i], m[j])
+            keep = np.flatnonzero((of[j] < key[i]) & (np.abs(n[i] - m[j]) <= longer * EDITS + 1e-9))
+            i, j, most = i[keep], j[keep], np.floor(longer[keep] * EDITS + 1e-9)
+            keep = _few_edits(bags, i, rows, j, most)
+            out.append(np.stack([i_at[i[keep]], j_at[j[keep]]], 1))
+    return np.concatenate(out)
+
+
+def search_tiles(rows: DataFrame, queries: DataFrame, exact: bool = False) -> DataFrame:
+    """``a, b``: candidate pairs of a row and a query with a larger key (key, n, bag, as :func:`embed_texts` makes them for tiles).
+
+    Rows lie in strips by length, cut into parts; a query visits the strips that a text with at most one word in ten changed can
+    be in. A tile is a part of a strip and a block of its visitors.
+    """
+    strip = lambda n: F.floor(F.log(n) / F.log(F.lit(STRIP))).cast("int")
+    counts = F.sum(F.length("bag") / 2)
+    r = rows.select("key", "n", "bag", strip(F.col("n")).alias("strip"))
+    q = queries.select(*[F.col(c).alias(c) for c in ("key", "n", "bag")], F.explode(F.sequence(strip(F.col("n") * (1 - EDITS) - 1e-6), strip(F.col("n") / (1 - EDITS) + 1e-6))).alias("strip"))
+    parts = r.groupBy("strip").agg(F.ceil(counts / TILE).cast("int").alias("parts"))
+    blocks = q.groupBy("strip").agg(F.ceil(counts / TILE).cast("int").alias("blocks"))
+    sizes = stage(parts.join(blocks, "strip"), "strips")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    r = r.join(F.broadcast(sizes), "strip").withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int")).select("strip", "part", each("blocks").alias("block"), "key", "n", "bag")
+    q = q.join(F.broadcast(sizes), "strip").withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int")).select("strip", each("parts").alias("part"), "block", "key", "n", "bag")
+
+    def one_width(g: pd.DataFrame):
+        """Keys, lengths and counts of the rows of each width."""
+        width = g["bag"].str.len().to_numpy(np.int64) // 2
+        for w in np.unique(width):
+            x = g[width == w]
+            yield x["key"].to_numpy(np.int64), x["n"].to_numpy(np.int64), np.frombuffer(b"".join(x["bag"]), np.uint16).reshape(-1, w)
+
+    def visit(keys, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for of, m, counts in one_width(left) if len(left) and len(right) else ():
+            for key, n, bags in one_width(right):
+                i, j = match_tile(key, n, bags, of, m, counts, exact).T
+                a.append(of[j])
+                b.append(key[i])
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    by = ["strip", "part", "block"]
+    return r.groupBy(*by).cogroup(q.groupBy(*by)).applyInPandas(visit, "a long, b long").distinct()
 
 
 def edit_words(a: list, b: list, most: int) -> int:
@@ -337,16 +412,14 @@ def similar_texts(docs: DataFrame, batches: DataFrame, exact: bool = False) -> D
     """(id, kept) by text. ``docs``: id, text; ``batches``: id, batch_no of all manifests; texts of other ids are left out.
 
     Equal texts are one class, matched by its first member; only classes with a member in a later batch search, and only among
-    what arrived with their first member or before: of what came after it, the first member is the smaller one anyway.
+    smaller ids.
     """
-    d = stage(embed_texts(docs, "id", "text"), "texts")
+    d = stage(embed_texts(docs, "id", "text", tiles=True), "texts")
     m = d.select(F.col("key").alias("id"), "same").join(batches, "id")
-    cls = m.groupBy("same").agg(F.min("id").alias("first"), F.max("batch_no").alias("newest"), F.min_by("batch_no", "id").alias("batch_no"))
-    rows = d.where("n >= 9").join(cls.select(F.col("first").alias("key"), "same", "newest", "batch_no"), ["key", "same"]).dropDuplicates(["key", "same"])  # nine words can differ from ten by one; of fewer none may differ
-    rows = stage(segments(rows.select("key", "n", "bag", "batch_no", "newest")), "vectors")
-    shards = stage(build_shards(rows), "shards")
-    pairs = stage(search_shards(rows.where("newest > 0"), shards, exact), "candidates")
-    discard(shards)
+    cls = m.groupBy("same").agg(F.min("id").alias("first"), F.max("batch_no").alias("newest"))
+    rows = d.where("n >= 9").join(cls.select(F.col("first").alias("key"), "same", "newest"), ["key", "same"]).dropDuplicates(["key", "same"])  # nine words can differ from ten by one; of fewer none may differ
+    rows = stage(rows.select("key", "n", "bag", "newest"), "vectors")
+    pairs = stage(search_tiles(rows, rows.where("newest > 0"), exact), "candidates")
     discard(rows)
     near = rerank(pairs, docs, "id", "text").groupBy(F.col("b").alias("first")).agg(F.min("a").alias("near"))
     best = cls.where("newest > 0").join(near, "first", "left").select("same", F.coalesce("near", "first").alias("kept"))
@@ -359,8 +432,8 @@ def duplicates_of_history(manifests: DataFrame, docs: DataFrame, exact: bool = F
 
     Defined cases: a null batch is history; a null id gives no row; blank or unreadable hashes are not stated; blank
     addresses and texts repeat nothing; texts of fewer than nine words repeat equal ones only; rows repeated with one id are
-    one manifest, which may have several texts; empty tables give an empty table; other columns are ignored. ``exact`` searches
-    every shard exhaustively instead of by its tuned beam.
+    one manifest, which may have several texts; empty tables give an empty table; other columns are ignored. ``exact`` compares
+    all pairs that their lengths allow without the bound on common words.
     """
     m = manifests.select(
         F.col("manifest_id").cast("long").alias("id"), F.coalesce("batch_no", F.lit(0)).alias("batch_no"), digest(F.col("content_hash")).alias("h"), normalize_url(F.regexp_replace("url", r"^[\s ]+|[\s ]+$", ""), keep_scheme=False).alias("u")

@@ -182,3 +182,43 @@ def test_index_over_batches(spark, tmp_path):
             assert index.compact() < before
         found |= got
     assert found == want and want and copies
+
+
+def test_crowded_texts_lose_no_pair(spark):
+    """Texts from one form, alike in most words: the ones within a tenth are found among all others that are nearly as near."""
+    rng = random.Random(12)
+    form, texts = _text(rng, 120), []
+    for i in range(1800):
+        if i >= 1500:
+            texts.append(_edited(rng, texts[rng.randrange(1500)], 12))
+        else:
+            texts.append([f"x{rng.randrange(5000)}" if rng.random() < 0.14 else w for w in form])
+    m = spark.createDataFrame([(i, int(i >= 1500), None, f"https://h.test/{i}") for i in range(len(texts))], "manifest_id long, batch_no int, content_hash string, url string")
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "manifest_id long, text string")
+    want = {}
+    for i in range(1500, len(texts)):
+        for j in range(i):
+            most = max(len(texts[i]), len(texts[j])) // 10
+            if abs(len(texts[i]) - len(texts[j])) <= most and edit_words(texts[j], texts[i], most) <= most:
+                want[i] = j
+                break
+    assert {r.manifest_id: r.kept_id for r in duplicates_of_history(m, d).collect()} == want and len(want) > 200
+
+
+def test_tiles_of_all_widths():
+    """Pairs of a tile equal those of plain comparison, also where the two sides count their words in different numbers of classes."""
+    from lodestrata.llm.history import _few_edits, _folded, match_tile
+
+    rng = np.random.default_rng(4)
+    rows = rng.poisson(0.8, (700, 128)).astype(np.uint16)
+    mine = rows[rng.integers(0, 700, 900)].astype(np.int64)
+    mine[np.arange(900), rng.integers(0, 128, 900)] += rng.integers(0, 14, 900)
+    mine = mine.astype(np.uint16)
+    m, n = rows.sum(1, dtype=np.int64), mine.sum(1, dtype=np.int64)
+    key, of = np.arange(2000, 2900), np.arange(700) * 4
+    for x in (mine, _folded(mine, 64)):
+        y, got = _folded(rows, x.shape[1]), {tuple(p) for p in match_tile(key, n, x, of, m, rows)}
+        i, j = (v.ravel() for v in np.meshgrid(np.arange(900), np.arange(700), indexing="ij"))
+        longer = np.maximum(n[i], m[j])
+        ok = (of[j] < key[i]) & (abs(n[i] - m[j]) <= longer // 10) & _few_edits(x, i, y, j, longer // 10)
+        assert got == set(zip(i[ok].tolist(), j[ok].tolist(), strict=True)) and len(got) > 300
