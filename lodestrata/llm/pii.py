@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from ..session import discard, stage
 
-#: Classifiers are fitted on at most so many distinct words, and kinds of spans, with their votes; neighbours' tokens on at most about so many texts.
-TRAIN_WORDS, TRAIN_SPANS, TRAIN_DOCS = 100_000, 100_000, 20_000
+#: Classifiers are fitted on all words and kinds of spans: up to so many of them by the driver, more by the tasks, in so many parts.
+FIT_ROWS, FIT_PARTS = 400_000, 16
 #: Words of the gazetteer (the most frequent ones of the given table).
 GAZETTEER = 1_000_000
 DIMS = 1 << 16
@@ -359,25 +359,68 @@ def _word_features(w: str) -> list[int]:
     return [zlib.crc32(x.encode()) % DIMS for x in f]
 
 
-def fit(features: list[list[int]], labels: np.ndarray, weight: np.ndarray, steps: int = 80) -> np.ndarray:
-    """Weights (DIMS + 2, labels) of logistic models on soft labels (AdaGrad, whole batches); the row DIMS is the bias, DIMS + 1 pads."""
-    m = max(map(len, features), default=1)
-    x = np.array([f + [DIMS + 1] * (m - len(f)) for f in features], np.int64).reshape(len(features), m)
-    k = labels.shape[1]
+def _arrays(t, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (DIMS + 1 pads), labels and weights of an Arrow table's rows."""
+    x, y, weight = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (t.column(n) for n in ("x", "y", "weight")))
+    size = pc.list_value_length(x).to_numpy(zero_copy_only=False).astype(np.int64)
+    places = np.full((len(size), max(size, default=1)), DIMS + 1, np.int32)
+    places[np.arange(places.shape[1]) < size[:, None]] = x.flatten().to_numpy()
+    return places, y.flatten().to_numpy().reshape(-1, k), weight.to_numpy()
+
+
+def _gradient(w: np.ndarray, x: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """What some rows add to the gradient; the row DIMS is the bias, DIMS + 1 pads."""
+    g = np.zeros_like(w)
+    for s in range(0, len(x), 1 << 16):  # bounds the gathered weights
+        part = x[s : s + (1 << 16)]
+        r = weight[s : s + (1 << 16), None] * (1 / (1 + np.exp(-np.clip(w[part].sum(1) + w[DIMS], -30, 30))) - labels[s : s + (1 << 16)])
+        for j in range(w.shape[1]):
+            g[:, j] += np.bincount(part.ravel(), np.repeat(r[:, j], part.shape[1]), DIMS + 2)
+            g[DIMS, j] += r[:, j].sum()
+    return g
+
+
+def _descend(gradient, k: int, steps: int = 80) -> np.ndarray:
+    """Weights (DIMS + 2, k) of logistic models on soft labels (AdaGrad, whole batches)."""
     w, g2 = np.zeros((DIMS + 2, k)), np.full((DIMS + 2, k), 1e-8)
-    sw = np.minimum(weight, 20.0)[:, None]
     for _ in range(steps):
-        r = sw * (1 / (1 + np.exp(-np.clip(w[x].sum(1) + w[DIMS], -30, 30))) - labels)
-        g = 2e-3 * w
-        for j in range(k):
-            g[:, j] += np.bincount(x.ravel(), np.repeat(r[:, j], m), DIMS + 2)
-            g[DIMS, j] += r[:, j].sum()
+        g = 2e-3 * w + gradient(w)
         g2 += g * g
         w -= 0.3 * g / np.sqrt(g2)
         w[DIMS + 1] = 0
     return w.astype(np.float32)
 
 
+def fit(rows: DataFrame, k: int, steps: int = 80) -> np.ndarray:
+    """Weights of the models for ``x`` (places of weights), ``y`` (k labels), ``weight`` of all rows. Few rows are fitted by the driver,
+    many where they are: each step, every task sums the gradient of its rows. Both give the same but for rounding."""
+    spark = rows.sparkSession
+    rows = stage(rows, "to-fit")
+    if rows.count() <= FIT_ROWS:
+        here = _arrays(rows.orderBy("x", "weight", "y").toArrow(), k)
+        discard(rows)
+        return _descend(lambda w: _gradient(w, *here), k, steps)
+    parts = stage(rows.repartition(FIT_PARTS), "to-fit-parts")
+    discard(rows)
+
+    def gradient(w: np.ndarray) -> np.ndarray:
+        shared = spark.sparkContext.broadcast(w)
+
+        def run(batches):
+            g = np.zeros_like(shared.value)
+            for b in batches:
+                g += _gradient(shared.value, *_arrays(b, k))
+            yield pa.RecordBatch.from_arrays([pa.array([g.tobytes()], pa.binary())], ["g"])
+
+        out = parts.coalesce(FIT_PARTS).mapInArrow(run, "g binary").collect()
+        shared.destroy()
+        return sum(np.frombuffer(r.g).reshape(w.shape) for r in out)
+
+    w = _descend(gradient, k, steps)
+    discard(parts)
+    return w
+
+
 def _levels(given: float, sur: float) -> tuple[int, int]:
     return max(-6, min(6, round(given))), max(-6, min(6, round(sur)))
 
@@ -572,16 +615,9 @@ def _table(rows: list, schema: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64() if c in ("n", "hits") else pa.string()) for c, x in zip(schema, columns, strict=True)], schema)
 
 
-def _sample(docs: DataFrame) -> DataFrame:
-    """About ``TRAIN_DOCS`` texts of ``t``, by hash; all if there are no more."""
-    n = docs.count()
-    return docs if n <= TRAIN_DOCS else docs.where(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < int((1 << 20) * TRAIN_DOCS / n))
-
-
 def learn_context(texts: DataFrame, gazetteer: frozenset | None) -> Context:
-    """Tokens that stand beside known names clearly more, or less, often than beside other capitalised runs; words mostly
-    written small. Known are names of the gazetteer or, where there is none, words that stand after titles at least twice."""
-    sample = _sample(texts).select("t")
+    """Tokens that stand beside known names clearly more, or less, often than beside other capitalised runs, in all texts; words
+    mostly, but not always, written small. Known are names of the gazetteer or, where there is none, words that stand after titles at least twice."""
     known = gazetteer
     if known is None:
 
@@ -595,7 +631,7 @@ def learn_context(texts: DataFrame, gazetteer: frozenset | None) -> Context:
                     n.update(w.low[x] for x in (*r.a[at].tolist(), *r.b[at].tolist()) if x >= 0)
                 yield _table(list(n.items()), ["t", "n"])
 
-        rows = sample.mapInArrow(titled, "t string, n long").groupBy("t").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "t").limit(GAZETTEER).collect()
+        rows = texts.mapInArrow(titled, "t string, n long").groupBy("t").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "t").limit(GAZETTEER).collect()
         known = frozenset(r.t for r in rows)
     shared = texts.sparkSession.sparkContext.broadcast(known)
 
@@ -620,15 +656,18 @@ def learn_context(texts: DataFrame, gazetteer: frozenset | None) -> Context:
                         hits[side, t] += h
             yield _table([(k, t, c, hits[k, t]) for (k, t), c in n.items()], ["side", "t", "n", "hits"])
 
-    seen = sample.mapInArrow(count, "side string, t string, n long, hits long").groupBy("side", "t").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
-    rows = seen.where("n >= 5").collect()
-    small = frozenset(r.t for r in rows if r.side == "word" and 2 * r.hits > r.n)
+    seen = texts.mapInArrow(count, "side string, t string, n long, hits long").groupBy("side", "t").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    seen = stage(seen.where("n >= 5"), "neighbours")
+    # what is never written large begins no run
+    small = frozenset(r.t for r in seen.where("side = 'word' AND 2 * hits > n AND hits < n").select("t").collect())
+    base = {r.side: (r.hits + 1) / (r.n + 2) for r in seen.groupBy("side").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).collect()}
     sides = {}
     for side in ("before", "after"):
-        mine = [r for r in rows if r.side == side]
-        base = (sum(r.hits for r in mine) + 1) / (sum(r.n for r in mine) + 2)
-        rate = {r.t: (r.hits + 2 * base) / (r.n + 2) for r in mine}
-        sides[side] = {t: 1 if x > max(0.5, min(0.9, 2 * base)) else -1 for t, x in rate.items() if x > max(0.5, min(0.9, 2 * base)) or x < base / 3}
+        share = base.get(side, 0.5)
+        most, rate = max(0.5, min(0.9, 2 * share)), (F.col("hits") + 2 * share) / (F.col("n") + 2)
+        rows = seen.where(F.col("side") == side).select("t", (rate > most).alias("more"), (rate < share / 3).alias("less")).where("more OR less").collect()
+        sides[side] = {r.t: 1 if r.more else -1 for r in rows}
+    discard(seen)
     return Context(sides["before"], sides["after"], small, gazetteer)
 
 
@@ -676,13 +715,29 @@ def train(docs: DataFrame, authors: DataFrame | None = None, text: str = "text",
     each = named.where("a <> ''").select(F.col("a").alias("w"), (F.col("n") * F.col("p")).alias("g"), zero.alias("s"), "n").unionAll(named.select(F.col("s").alias("w"), zero.alias("g"), (F.col("n") * F.col("p")).alias("s"), "n"))
     each = each.unionAll(votes.where("kind = 'small'").select(F.col("s").alias("w"), zero.alias("g"), zero.alias("s"), "n"))
     words = each.groupBy("w").agg(F.sum("g").alias("g"), F.sum("s").alias("s"), F.sum("n").alias("n"))
-    rows = sorted(words.orderBy(F.xxhash64("w")).limit(TRAIN_WORDS).collect(), key=lambda r: r.w)
-    n = np.array([r.n for r in rows], float)
-    w = fit([_word_features(r.w) for r in rows], np.array([(r.g, r.s) for r in rows], float).reshape(-1, 2) / n[:, None], n)
-    finder = Finder(ctx, w, np.zeros((DIMS + 2, 1), np.float32))
-    rows = sorted(scored.orderBy(F.xxhash64("kind", "a", "s", "v", "f"), "kind", "a", "s", "v", "f").limit(TRAIN_SPANS).collect(), key=lambda r: (r.kind, r.a, r.s, r.v, r.f))
-    feats = [_name_features(*_levels(finder.logits(r.a)[0] if r.a else -6.0, finder.logits(r.s)[1]), tuple(r.v.split(","))) if r.kind == "name" else list(map(int, r.f.split())) for r in rows]
-    spans = fit(feats, np.array([[r.p] for r in rows], float).reshape(-1, 1), np.array([r.n for r in rows], float))
+    weight = lambda n: F.least(n.cast("double"), F.lit(20.0))
+
+    def places(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_word_features(x) for x in b.column("w").to_pylist()], pa.list_(pa.int32())), b.column("y"), b.column("weight")], ["x", "y", "weight"])
+
+    to_fit = "x array<int>, y array<double>, weight double"
+    w = fit(words.select("w", F.array(F.col("g") / F.col("n"), F.col("s") / F.col("n")).alias("y"), weight(F.col("n")).alias("weight")).mapInArrow(places, to_fit), 2)
+    finder = spark.sparkContext.broadcast(Finder(None, w, np.zeros((DIMS + 2, 1), np.float32)))
+
+    def judged(batches):
+        f = finder.value
+        for b in batches:
+            c: Counter = Counter()
+            for a, x, v, p, n in zip(*(b.column(k).to_pylist() for k in ("a", "s", "v", "p", "n")), strict=True):
+                c[(*_levels(f.logits(a)[0] if a else -6.0, f.logits(x)[1]), v, p)] += min(n, 20)
+            rows = [(_name_features(g, s, tuple(v.split(","))), [p], float(n)) for (g, s, v, p), n in c.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.list_(pa.int32()), pa.list_(pa.float64()), pa.float64()))], ["x", "y", "weight"])
+
+    # names of one level and one pattern of votes are one row, which weighs as much as all of them
+    named = named.select("a", "s", "v", "p", "n").mapInArrow(judged, to_fit).groupBy("x", "y").agg(F.sum("weight").alias("weight"))
+    other = scored.where("kind <> 'name'").select(F.split("f", " ").cast("array<int>").alias("x"), F.array("p").alias("y"), weight(F.col("n")).alias("weight"))
+    spans = fit(named.unionByName(other), 1)
     discard(votes)
     return Finder(ctx, w, spans), report
 

@@ -1,6 +1,7 @@
 """Operators on texts do not depend on how many texts there are."""
 
 import random
+import re
 
 import pyarrow as pa
 import pytest
@@ -20,6 +21,28 @@ def test_votes_come_from_all_texts(spark, monkeypatch):
     assert [(r.kind, rare[1][r.start_pos : r.end_pos]) for r in pii.find_pii(df).where("doc_id = 1000").collect()] == [("address", "12 Mill Lane, Ludovia")]
 
 
+def test_models_come_from_all_texts(spark, monkeypatch):
+    """No limit on texts, words or spans: tokens beside names, counts and models are those of the whole table."""
+    people = [f"{a}{b} {c}{d}son" for a in ("Al", "Be", "Ca") for b in ("ma", "no") for c in ("Vi", "Ko", "Re") for d in ("nt", "ld")]
+    texts = [(i, f"Yesterday chairwoman {people[i % 36]} spoke and then {people[i * 7 % 36]} left. The Old Harbour {i} stayed shut.") for i in range(300)]
+    df, authors = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([("; ".join(people),)] * 3, "authors string")
+    for name in ("TRAIN_DOCS", "TRAIN_WORDS", "TRAIN_SPANS"):
+        monkeypatch.setattr(pii, name, 3, raising=False)
+    finder, report = pii.train(df, authors)
+    assert finder.ctx.before["chairwoman"] == 1 and finder.ctx.after[" left"] == 1 and report["name"]["counts"].sum() >= 600
+    want = {(i, *m.span()) for i, t in texts for m in re.finditer("|".join(people), t)}
+    got = {(r.doc_id, r.start_pos, r.end_pos) for r in pii.find_pii(df, authors).collect() if r.kind == "name"}
+    assert len(want) == 600 and len(want ^ got) <= 0.02 * len(want)
+
+
+def test_fit_in_tasks_equals_fit_in_the_driver(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = spark.createDataFrame([([rng.randrange(50) for _ in range(rng.randrange(1, 6))], [rng.random(), rng.random()], float(rng.randrange(1, 21))) for _ in range(200)], "x array<int>, y array<double>, weight double")
+    here = pii.fit(rows, 2, 6)
+    monkeypatch.setattr(pii, "FIT_ROWS", 0)
+    assert abs(here).max() > 0.1 and abs(pii.fit(rows, 2, 6) - here).max() < 1e-5
+
+
 def test_every_address_shape_passes_the_prefilter():
     tails = [", 10115 Berlin", "\n10115 Berlin", " 10115 Berlin", " - 12345 Town", ", Ludovia", "\nLudovia"]
     kinds = "Street St St. Road Rd Rd. Lane Court Avenue Ave Way Square Close Drive Terrace Place Boulevard Blvd Crescent Row".split()
